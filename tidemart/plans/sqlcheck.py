@@ -7,6 +7,7 @@ DuckDB. Each query is a list of named common tables followed by its final select
 from __future__ import annotations
 
 from tidemart.plans.catalog import AS_OF, AS_OF_MS
+from tidemart.plans.stream_catalog import LATE_AFTER, TWINS
 
 FMT = "'%Y-%m-%d %H:%M:%S'"
 SIX_HOURS = 21_600_000
@@ -399,3 +400,29 @@ def sql_text(needed: tuple[str, ...], final: str) -> str:
 
 def table_sql() -> dict[str, str]:
     return {name: sql_text(needed, final) for name, (needed, final) in FINAL.items()}
+
+
+# Arrival rounds cut the span of arrival times into three equal parts.
+LATE_ROWS = f"""
+SELECT rec_id, ts, mid FROM (
+  SELECT *, (SELECT max(e.ts) FROM rounds e WHERE e.round < r.round) AS high FROM rounds r)
+WHERE (ts // 3600000 + 1) * 3600000 <= high - 5000"""
+TABLES["arrival"] = f"""
+SELECT *, ts + CASE WHEN rec_id % 10 = 3 THEN {LATE_AFTER} ELSE 0 END AS at FROM log"""
+TABLES["rounds"] = """
+SELECT a.*, CAST(at >= low + step AS INTEGER) + CAST(at >= low + 2 * step AS INTEGER) AS round
+FROM arrival a, (SELECT min(at) AS low, (max(at) - min(at)) // 3 AS step FROM arrival)"""
+NEEDS["arrival"] = ("log",)
+NEEDS["rounds"] = ("arrival",)
+
+
+def stream_sql() -> dict[str, str]:
+    tables = table_sql()
+    return {
+        **{stream: tables[table] for stream, table in TWINS.items()},
+        "stream_cdc_routes": sql_text(("routed",), """
+SELECT sink_table AS topic, count(*) AS n FROM routed WHERE sink_type = 'kafka' GROUP BY 1"""),
+        "stream_dim_upsert": sql_text(("routed",), """
+SELECT id, coalesce(name, '') AS name FROM routed WHERE sink_type = 'hbase'"""),
+        "late_rows": sql_text(("rounds",), LATE_ROWS),
+    }

@@ -25,6 +25,9 @@ PAGE = fields("page_id string, during_time bigint, last_page_id string, item str
 START = fields("entry string, loading_time bigint, open_ad_id string")
 DISPLAY = fields("item string, item_type string, order bigint")
 
+# The columns product statistics need of a display line.
+DISPLAY_LINE = fields("item string, item_type string, ts bigint")
+
 # rec_id is the position of a record in its topic (file row or broker offset): unique, and the
 # tie-break between records of one device with the same ts.
 PAGE_LOG = T.StructType([
@@ -87,6 +90,10 @@ REFUND_INFO = fields(
     "id bigint, order_id bigint, sku_id bigint, refund_amount decimal(20,2), create_time string")
 COMMENT_INFO = fields("id bigint, sku_id bigint, appraise string, create_time string")
 
+# The columns keyword statistics need of a product statistics line.
+PRODUCT_COUNTS = fields(
+    "stt string, edt string, sku_name string, click_ct bigint, order_ct bigint, cart_ct bigint")
+
 VISITOR_STATS = (
     "stt", "edt", "vc", "ch", "ar", "is_new", "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum", "ts")
 PRODUCT_STATS = (

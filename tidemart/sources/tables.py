@@ -20,11 +20,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return table.withColumns(zoned) if zoned else table
 
 
-def read_dim(spark: SparkSession, path: str, key: Sequence[str] = ("id",)) -> DataFrame:
+def read_dim(spark: SparkSession, path: str, table: str, columns: Sequence[str]) -> DataFrame:
     """Current rows of a dimension written by ``sinks.dims``: the last row of each key."""
-    rows = spark.read.parquet(path)
-    order = [BATCH, "ts", "xid", "xoffset"]
-    return latest_rows(rows, list(key), order).drop(*order)
+    rows = spark.read.parquet(path).where(F.col("sink_table") == table)
+    last = latest_rows(rows, ["sink_table", "key"], [BATCH, "ts", "xid", "xoffset"])
+    return last.select(*[F.col("data")[c].alias(c) for c in columns])
+
+
+def read_upserts(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame:
+    """Current rows of a table written by ``sinks.stats.upsert_batch``."""
+    return latest_rows(spark.read.parquet(path), key, [BATCH]).drop(BATCH)
 
 
 def read_stats(spark: SparkSession, path: str, day_from: int | None = None,
