@@ -27,10 +27,9 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     slice_ms = slice_ms or SLICES_PER_SPAN * max(upper_ms - lower_ms, 1000)
     lms, rms = F.unix_millis(F.col(left_ts)), F.unix_millis(F.col(right_ts))
     lslices = F.sequence(floor_div(lms + lower_ms, slice_ms), floor_div(lms + upper_ms, slice_ms))
-    lhs = left.where(F.col(left_key).isNotNull() & F.col(left_ts).isNotNull()).select(
-        "*", F.explode(lslices).alias("_lslice"))
-    rhs = right.where(F.col(right_key).isNotNull() & F.col(right_ts).isNotNull()).select(
-        "*", floor_div(rms, slice_ms).alias("_rslice"))
+    lhs = left.select("*", F.explode(lslices).alias("_lslice"))
+    # Never null, so that the optimizer has no reason to compute the time once more in a filter.
+    rhs = right.select("*", F.coalesce(floor_div(rms, slice_ms), F.lit(0)).alias("_rslice"))
     on = (F.col(left_key) == F.col(right_key)) & (F.col("_lslice") == F.col("_rslice"))
     within = F.expr(
         f"{right_ts} >= {left_ts} + INTERVAL {lower_ms} MILLISECONDS AND "

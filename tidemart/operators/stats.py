@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.times import stamp, to_millis
+from tidemart.functions.times import event_time, stamp, to_millis
 from tidemart.operators.joins import DimSpec, enrich
 from tidemart.operators.logs import entry_page, product_clicks, product_displays
 from tidemart.operators.wide import Dims
@@ -78,20 +78,24 @@ def product_facts(page: DataFrame, display: DataFrame, favor: DataFrame, cart: D
                   order_wide: DataFrame, payment_wide: DataFrame, refund: DataFrame,
                   comment: DataFrame) -> DataFrame:
     """The eight product inputs as rows of one shape; measures a source lacks are 0."""
-    one, created = F.lit(1), to_millis(F.col("create_time"))
+    one = F.lit(1)
+
+    def created(rows: DataFrame) -> Column:
+        return F.unix_millis(event_time(rows))
+
     parts = [
         _measures(product_clicks(page), F.col("ts"), {"click_ct": one}),
         _measures(product_displays(display), F.col("ts"), {"display_ct": one}),
-        _measures(favor, created, {"favor_ct": one}),
-        _measures(cart, created, {"cart_ct": one}),
-        _measures(order_wide, created, {
+        _measures(favor, created(favor), {"favor_ct": one}),
+        _measures(cart, created(cart), {"cart_ct": one}),
+        _measures(order_wide, created(order_wide), {
             "order_amount": F.col("split_total_amount"), "order_sku_num": F.col("sku_num")},
             "order", F.col("order_id")),
         _measures(payment_wide, to_millis(F.col("payment_create_time")), {
             "payment_amount": F.col("split_total_amount")}, "payment", F.col("order_id")),
-        _measures(refund, created, {"refund_amount": F.col("refund_amount")},
+        _measures(refund, created(refund), {"refund_amount": F.col("refund_amount")},
                   "refund", F.col("order_id")),
-        _measures(comment, created, {"comment_ct": one, "good_comment_ct": good_comment()}),
+        _measures(comment, created(comment), {"comment_ct": one, "good_comment_ct": good_comment()}),
     ]
     facts = parts[0]
     for part in parts[1:]:

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.times import age_in_years, create_date, create_hour, parse_datetime
+from tidemart.functions.times import age_in_years, create_date, create_hour, event_time
 from tidemart.operators.joins import DimSpec, enrich, interval_join
 from tidemart.schemas import ORDER_WIDE, PAYMENT_WIDE
 
@@ -34,8 +34,8 @@ class Dims(NamedTuple):
 def _timed(rows: DataFrame, prefix: str, delay: str | None, text: str = "create_time") -> DataFrame:
     et = f"{prefix}et"
     renamed = rows.select(
-        *[F.col(c).alias(prefix + c) for c in rows.columns],
-        parse_datetime(F.col(text)).alias(et))
+        *[F.col(c).alias(prefix + c) for c in rows.columns if c != "et"],
+        event_time(rows, text).alias(et))
     return renamed.withWatermark(et, delay) if delay else renamed
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions import texts, times
-from tidemart.operators import cdc, dashboard, joins, keywords, logs, sequences, stats, wide
+from tidemart.operators import cdc, dashboard, joins, keywords, logs, sequences, stats
 from tidemart.plans import warehouse
 from tidemart.schemas import CHANGE
 from tidemart.sources import tables
@@ -53,7 +53,7 @@ def visitor_table(s: Sample) -> DataFrame:
 
 
 def order_wide_base(s: Sample) -> DataFrame:
-    return wide.order_wide_base(s.orders(), s.details(), PARAMS.order_lower_ms, PARAMS.order_upper_ms)
+    return warehouse.order_base_table(s.orders(), s.details(), PARAMS)
 
 
 def order_wide_table(s: Sample) -> DataFrame:
@@ -217,8 +217,8 @@ TABLE_QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "scalar_time_functions": scalar_time_functions,
     "scalar_text_functions": scalar_text_functions,
     # wide facts
-    "order_wide_base": order_wide_base,
-    "order_wide": order_wide_table,
+    "order_wide_base": lambda s: order_wide_base(s).drop("et"),
+    "order_wide": lambda s: order_wide_table(s).drop("et"),
     "payment_wide": payment_wide_table,
     # sequences
     "repair_is_new": lambda s: flat_log(sequences.repair_is_new(s.log())),

@@ -408,10 +408,10 @@ SELECT rec_id, ts, mid FROM (
   SELECT *, (SELECT max(e.ts) FROM rounds e WHERE e.round < r.round) AS high FROM rounds r)
 WHERE (ts // 3600000 + 1) * 3600000 <= high - 5000"""
 TABLES["arrival"] = f"""
-SELECT *, ts + CASE WHEN rec_id % 10 = 3 THEN {LATE_AFTER} ELSE 0 END AS at FROM log"""
+SELECT *, ts + CASE WHEN rec_id % 10 = 3 THEN {LATE_AFTER} ELSE 0 END AS arrived FROM log"""
 TABLES["rounds"] = """
-SELECT a.*, CAST(at >= low + step AS INTEGER) + CAST(at >= low + 2 * step AS INTEGER) AS round
-FROM arrival a, (SELECT min(at) AS low, (max(at) - min(at)) // 3 AS step FROM arrival)"""
+SELECT a.*, CAST(arrived >= low + step AS INTEGER) + CAST(arrived >= low + 2 * step AS INTEGER) AS round
+FROM arrival a, (SELECT min(arrived) AS low, (max(arrived) - min(arrived)) // 3 AS step FROM arrival)"""
 NEEDS["arrival"] = ("log",)
 NEEDS["rounds"] = ("arrival",)
 

@@ -99,7 +99,7 @@ def stream_order_wide(s: Sample) -> DataFrame:
 def stream_payment_wide(s: Sample) -> DataFrame:
     feeds = {
         "dwd_payment_info": fact_feed(s.payments(), id=-1, order_id=-1, create_time=FAR),
-        "dwm_order_wide": fact_feed(order_wide_table(s), order_id=-2, create_time=FAR)}
+        "dwm_order_wide": fact_feed(order_wide_table(s).drop("et"), order_id=-2, create_time=FAR)}
     return replay(s.spark, "payment_wide", feeds,
                   lambda t: jobs.payment_wide(t["dwd_payment_info"], t["dwm_order_wide"], PARAMS))
 
@@ -116,7 +116,7 @@ def stream_product_stats(s: Sample) -> DataFrame:
         "page": log_feed(pages(s), line(page={"page_id": "good_detail", "item": "-1"}, ts=FAR_MS)),
         "display": log_feed(display, None),
         "favor": fact_feed(s.favors()), "cart": fact_feed(s.carts()),
-        "order_wide": fact_feed(orders),
+        "order_wide": fact_feed(orders.drop("et")),
         "payment_wide": fact_feed(warehouse.payment_wide_table(s.payments(), orders, PARAMS),
                                   "payment_create_time"),
         "refund": fact_feed(s.refunds()), "comment": fact_feed(s.comments())}

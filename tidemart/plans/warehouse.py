@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.times import parse_datetime
+from tidemart.functions.times import event_time
 from tidemart.operators import cdc, keywords, logs, sequences, stats, wide
 from tidemart.operators.wide import Dims
 from tidemart.schemas import CHANGE
@@ -35,9 +35,15 @@ def visitor_table(page: DataFrame, params: Params = Params()) -> DataFrame:
     return stats.visitor_stats(facts, params.visitor_window)
 
 
+def order_base_table(orders: DataFrame, details: DataFrame, params: Params = Params()) -> DataFrame:
+    """Order lines with their orders; the event time ``et`` stays for the layers above."""
+    return wide.order_wide_base(
+        orders, details, params.order_lower_ms, params.order_upper_ms, keep_time=True)
+
+
 def order_wide_table(orders: DataFrame, details: DataFrame, dims: Dims, as_of: str,
                      params: Params = Params()) -> DataFrame:
-    base = wide.order_wide_base(orders, details, params.order_lower_ms, params.order_upper_ms)
+    base = order_base_table(orders, details, params)
     return wide.add_dimensions(base, dims, F.to_timestamp(F.lit(as_of)))
 
 
@@ -52,7 +58,7 @@ def product_table(facts: DataFrame, dims: Dims, params: Params = Params()) -> Da
 
 
 def province_table(order_wide: DataFrame, as_of_ms: int, params: Params = Params()) -> DataFrame:
-    timed = order_wide.withColumn("et", parse_datetime(F.col("create_time")))
+    timed = order_wide.withColumn("et", event_time(order_wide))
     return stats.province_stats(timed, as_of_ms, params.province_window)
 
 

@@ -94,7 +94,8 @@ class Sample(NamedTuple):
             (key % 20).cast(MONEY).alias("feight_fee"),
             stamp(F.col("o_orderdate") + F.expr("INTERVAL 15 MINUTES")).alias("expire_time"),
             stamp(F.col("o_orderdate")).alias("create_time"),
-            F.lit(None).cast("string").alias("operate_time"))
+            F.lit(None).cast("string").alias("operate_time"),
+            F.unix_millis("o_orderdate").alias("create_ts"))
 
     def details(self) -> DataFrame:
         li = self.table("lineitem")
@@ -106,18 +107,21 @@ class Sample(NamedTuple):
             F.concat(F.lit("line "), F.col("l_partkey")).alias("sku_name"),
             stamp(F.col("l_shipdate")).alias("create_time"), price.alias("split_total_amount"),
             F.col("l_linenumber").cast(MONEY).alias("split_activity_amount"),
-            (F.col("l_linenumber") % 3).cast(MONEY).alias("split_coupon_amount"))
+            (F.col("l_linenumber") % 3).cast(MONEY).alias("split_coupon_amount"),
+            F.unix_millis("l_shipdate").alias("create_ts"))
 
     def payments(self) -> DataFrame:
         """Finished orders, paid up to 59 minutes after the order."""
         o = self.table("orders").where(F.col("o_orderstatus") == "F")
         key = F.col("o_orderkey")
-        paid = F.timestamp_millis(F.unix_millis("o_orderdate") + key % 60 * 60_000)
+        paid_ms = F.unix_millis("o_orderdate") + key % 60 * 60_000
+        paid = F.timestamp_millis(paid_ms)
         return o.select(
             (key + 1_000_000_000).alias("id"), key.alias("order_id"), F.col("o_custkey").alias("user_id"),
             F.col("o_totalprice").cast(MONEY).alias("total_amount"),
             F.concat(F.lit("order "), key).alias("subject"), F.col("o_orderpriority").alias("payment_type"),
-            stamp(paid).alias("create_time"), stamp(paid + F.expr("INTERVAL 5 SECONDS")).alias("callback_time"))
+            stamp(paid).alias("create_time"), stamp(paid + F.expr("INTERVAL 5 SECONDS")).alias("callback_time"),
+            paid_ms.alias("create_ts"))
 
     def _shop_events(self, kind: str) -> DataFrame:
         return self.table("events").where(F.col("event_type") == kind).select(
