@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.times import floor_div
@@ -39,11 +39,11 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
 
 @dataclass(frozen=True)
 class DimSpec:
-    """One lookup: fact column ``on`` equals ``dim.key``; ``columns`` maps new names to values."""
+    """One lookup: fact column ``on`` equals ``dim.key``; ``columns`` maps new names to the dim's."""
 
     dim: DataFrame
     on: str
-    columns: Mapping[str, Column]
+    columns: Mapping[str, str]
     key: str = "id"
 
 
@@ -55,13 +55,12 @@ def enrich(facts: DataFrame, specs: Sequence[DimSpec]) -> DataFrame:
     by its known file size, a larger one is joined by sort-merge, where AQE splits hot keys.
     """
     for spec in specs:
-        side = spec.dim.select(
-            F.col(spec.key).alias("_dim_key"),
-            *[value.alias(f"_dim_{name}") for name, value in spec.columns.items()])
-        kept = [F.col(c) for c in facts.columns if c not in spec.columns]
-        found = [F.col(f"_dim_{name}").alias(name) for name in spec.columns]
-        facts = (facts.join(side, F.col(spec.on) == F.col("_dim_key"), "left")
-                 .select(*kept, *found))
+        side = spec.dim.selectExpr(
+            f"{spec.key} AS _dim_key", *[f"{source} AS _dim_{name}" for name, source in spec.columns.items()])
+        joined = facts.join(side, F.col(spec.on) == F.col("_dim_key"), "left")
+        replaced = [name for name in spec.columns if name in facts.columns]
+        facts = (joined.drop("_dim_key", *replaced)
+                 .withColumnsRenamed({f"_dim_{name}": name for name in spec.columns}))
     return facts
 
 

@@ -22,6 +22,7 @@ GOOD_GRADES = ("1205", "1204")
 
 _COUNTS = ("display_ct", "click_ct", "favor_ct", "cart_ct", "order_sku_num", "comment_ct",
            "good_comment_ct")
+_VISITS = ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")
 _AMOUNTS = ("order_amount", "payment_amount", "refund_amount")
 
 
@@ -31,12 +32,9 @@ def _bounds() -> list[Column]:
 
 # ---------------------------------------------------------------- visitors
 
-def _visitor_rows(log: DataFrame, uv: Column, pv: Column, sv: Column, uj: Column, dur: Column) -> DataFrame:
-    return log.select(
-        *[F.col(f"common.{c}").alias(c) for c in ("vc", "ch", "ar", "is_new")],
-        uv.cast("bigint").alias("uv_ct"), pv.cast("bigint").alias("pv_ct"),
-        sv.cast("bigint").alias("sv_ct"), uj.cast("bigint").alias("uj_ct"),
-        F.coalesce(dur.cast("bigint"), F.lit(0).cast("bigint")).alias("dur_sum"), "ts", "et")
+def _visitor_rows(log: DataFrame, **given: str) -> DataFrame:
+    counts = [f"CAST({given.get(c, 0)} AS BIGINT) AS {c}" for c in _VISITS]
+    return log.selectExpr("common.vc", "common.ch", "common.ar", "common.is_new", *counts, "ts", "et")
 
 
 def visitor_facts(page: DataFrame, first_visits: DataFrame, bounced: DataFrame) -> DataFrame:
@@ -44,15 +42,14 @@ def visitor_facts(page: DataFrame, first_visits: DataFrame, bounced: DataFrame)
 
     The page log is read once for page views, durations and session starts.
     """
-    zero, one = F.lit(0), F.lit(1)
-    views = _visitor_rows(page, zero, one, entry_page().cast("int"), zero, F.col("page.during_time"))
-    visits = _visitor_rows(first_visits, one, zero, zero, zero, zero)
-    left = _visitor_rows(bounced, zero, zero, zero, one, zero)
-    return views.unionByName(visits).unionByName(left)
+    views = _visitor_rows(page.withColumn("_entry", entry_page()), pv_ct="1", sv_ct="_entry",
+                          dur_sum="coalesce(page.during_time, 0)")
+    return (views.unionByName(_visitor_rows(first_visits, uv_ct="1"))
+            .unionByName(_visitor_rows(bounced, uj_ct="1")))
 
 
 def visitor_stats(facts: DataFrame, size: str = "5 seconds") -> DataFrame:
-    sums = [F.sum(c).alias(c) for c in ("uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum")]
+    sums = [F.sum(c).alias(c) for c in _VISITS]
     return (facts.groupBy(F.window("et", size), "vc", "ch", "ar", "is_new")
             .agg(*sums, F.min("ts").alias("ts"))
             .select(*_bounds(), "*").select(*VISITOR_STATS))
@@ -60,14 +57,14 @@ def visitor_stats(facts: DataFrame, size: str = "5 seconds") -> DataFrame:
 
 # ---------------------------------------------------------------- products
 
-def _measures(rows: DataFrame, ts: Column, given: dict[str, Column],
-              order_kind: str | None = None, order_id: Column | None = None) -> DataFrame:
-    counts = [given.get(c, F.lit(0)).cast("bigint").alias(c) for c in _COUNTS]
-    amounts = [given.get(c, F.lit(0)).cast(MONEY).alias(c) for c in _AMOUNTS]
-    return rows.select(
-        F.col("sku_id").cast("bigint").alias("sku_id"), ts.cast("bigint").alias("ts"),
-        *counts, *amounts, F.lit(order_kind).cast("string").alias("order_kind"),
-        (F.lit(None) if order_id is None else order_id).cast("bigint").alias("order_id"))
+def _measures(rows: DataFrame, ts: Column, order_kind: str | None = None, **given: str) -> DataFrame:
+    """Product, time and all measures; ``given`` has the SQL of those the source fills."""
+    kind, order = (f"'{order_kind}'", "order_id") if order_kind else ("NULL", "NULL")
+    return rows.withColumn("_ts", ts).selectExpr(
+        "CAST(sku_id AS BIGINT) AS sku_id", "CAST(_ts AS BIGINT) AS ts",
+        *[f"CAST({given.get(c, 0)} AS BIGINT) AS {c}" for c in _COUNTS],
+        *[f"CAST({given.get(c, 0)} AS {MONEY.simpleString()}) AS {c}" for c in _AMOUNTS],
+        f"CAST({kind} AS STRING) AS order_kind", f"CAST({order} AS BIGINT) AS order_id")
 
 
 def good_comment() -> Column:
@@ -78,24 +75,21 @@ def product_facts(page: DataFrame, display: DataFrame, favor: DataFrame, cart: D
                   order_wide: DataFrame, payment_wide: DataFrame, refund: DataFrame,
                   comment: DataFrame) -> DataFrame:
     """The eight product inputs as rows of one shape; measures a source lacks are 0."""
-    one = F.lit(1)
-
     def created(rows: DataFrame) -> Column:
         return F.unix_millis(event_time(rows))
 
+    paid = to_millis(F.col("payment_create_time"))
+    graded = comment.withColumn("_good", good_comment())
     parts = [
-        _measures(product_clicks(page), F.col("ts"), {"click_ct": one}),
-        _measures(product_displays(display), F.col("ts"), {"display_ct": one}),
-        _measures(favor, created(favor), {"favor_ct": one}),
-        _measures(cart, created(cart), {"cart_ct": one}),
-        _measures(order_wide, created(order_wide), {
-            "order_amount": F.col("split_total_amount"), "order_sku_num": F.col("sku_num")},
-            "order", F.col("order_id")),
-        _measures(payment_wide, to_millis(F.col("payment_create_time")), {
-            "payment_amount": F.col("split_total_amount")}, "payment", F.col("order_id")),
-        _measures(refund, created(refund), {"refund_amount": F.col("refund_amount")},
-                  "refund", F.col("order_id")),
-        _measures(comment, created(comment), {"comment_ct": one, "good_comment_ct": good_comment()}),
+        _measures(product_clicks(page), F.col("ts"), click_ct="1"),
+        _measures(product_displays(display), F.col("ts"), display_ct="1"),
+        _measures(favor, created(favor), favor_ct="1"),
+        _measures(cart, created(cart), cart_ct="1"),
+        _measures(order_wide, created(order_wide), "order",
+                  order_amount="split_total_amount", order_sku_num="sku_num"),
+        _measures(payment_wide, paid, "payment", payment_amount="split_total_amount"),
+        _measures(refund, created(refund), "refund", refund_amount="refund_amount"),
+        _measures(graded, created(comment), comment_ct="1", good_comment_ct="_good"),
     ]
     facts = parts[0]
     for part in parts[1:]:
@@ -124,11 +118,11 @@ def add_product_names(measures: DataFrame, dims: Dims) -> DataFrame:
     """Product, spu, brand and category of each statistics row, looked up after aggregation."""
     named = enrich(measures, [
         DimSpec(dims.sku, "sku_id", {
-            "sku_name": F.col("sku_name"), "sku_price": F.col("price"), "spu_id": F.col("spu_id"),
-            "tm_id": F.col("tm_id"), "category3_id": F.col("category3_id")}),
-        DimSpec(dims.spu, "spu_id", {"spu_name": F.col("spu_name")}),
-        DimSpec(dims.tm, "tm_id", {"tm_name": F.col("tm_name")}),
-        DimSpec(dims.category3, "category3_id", {"category3_name": F.col("name")}),
+            "sku_name": "sku_name", "sku_price": "price", "spu_id": "spu_id", "tm_id": "tm_id",
+            "category3_id": "category3_id"}),
+        DimSpec(dims.spu, "spu_id", {"spu_name": "spu_name"}),
+        DimSpec(dims.tm, "tm_id", {"tm_name": "tm_name"}),
+        DimSpec(dims.category3, "category3_id", {"category3_name": "name"}),
     ])
     return named.select(*PRODUCT_STATS)
 

@@ -6,8 +6,9 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemart.functions.times import age_in_years, create_date, create_hour, event_time
+from tidemart.functions.times import age_in_years, event_time
 from tidemart.operators.joins import DimSpec, enrich, interval_join
 from tidemart.schemas import ORDER_WIDE, PAYMENT_WIDE
 
@@ -33,15 +34,14 @@ class Dims(NamedTuple):
 
 def _timed(rows: DataFrame, prefix: str, delay: str | None, text: str = "create_time") -> DataFrame:
     et = f"{prefix}et"
-    renamed = rows.select(
-        *[F.col(c).alias(prefix + c) for c in rows.columns if c != "et"],
-        event_time(rows, text).alias(et))
+    renamed = (rows.withColumn("et", event_time(rows, text))
+               .withColumnsRenamed({c: prefix + c for c in {*rows.columns, "et"}}))
     return renamed.withWatermark(et, delay) if delay else renamed
 
 
-def _fill(schema_names, given: dict[str, Column], schema) -> list[Column]:
-    """Columns in schema order; a column nobody fills is null."""
-    return [given.get(c, F.lit(None)).cast(schema[c].dataType).alias(c) for c in schema_names]
+def _fill(schema: StructType, given: dict[str, str]) -> list[str]:
+    """SQL of the columns in schema order; a column nobody fills is null."""
+    return [f"CAST({given.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema]
 
 
 def order_wide_base(orders: DataFrame, details: DataFrame, lower_ms: int = -5 * MINUTE,
@@ -54,17 +54,17 @@ def order_wide_base(orders: DataFrame, details: DataFrame, lower_ms: int = -5 *
     pairs = interval_join(
         _timed(orders, "o_", delay), _timed(details, "d_", delay),
         "o_id", "d_order_id", "o_et", "d_et", lower_ms, upper_ms)
-    given = {c: F.col(f"o_{c}") for c in _FROM_ORDER}
-    given |= {c: F.col(f"d_{c}") for c in _FROM_DETAIL}
+    given = {c: f"o_{c}" for c in _FROM_ORDER}
+    given |= {c: f"d_{c}" for c in _FROM_DETAIL}
     given |= {
-        "detail_id": F.col("d_id"),
-        "create_date": create_date(F.col("o_create_time")),
-        "create_hour": create_hour(F.col("o_create_time")),
+        "detail_id": "d_id",
+        "create_date": "substring(o_create_time, 1, 10)",
+        "create_hour": "substring(o_create_time, 12, 2)",
     }
-    columns = _fill(ORDER_WIDE.fieldNames(), given, ORDER_WIDE)
+    columns = _fill(ORDER_WIDE, given)
     if keep_time:
-        columns.append(F.col("o_et").alias("et"))
-    return pairs.select(*columns)
+        columns.append("o_et AS et")
+    return pairs.selectExpr(*columns)
 
 
 def add_dimensions(wide: DataFrame, dims: Dims, as_of: Column) -> DataFrame:
@@ -72,22 +72,20 @@ def add_dimensions(wide: DataFrame, dims: Dims, as_of: Column) -> DataFrame:
 
     Name and price come from the product dimension and replace those of the order line.
     """
-    order = wide.columns
+    user = dims.user.select("id", "gender", age_in_years(F.col("birthday"), as_of).alias("age"))
     full = enrich(wide, [
-        DimSpec(dims.user, "user_id", {
-            "user_gender": F.col("gender"),
-            "user_age": age_in_years(F.col("birthday"), as_of)}),
+        DimSpec(user, "user_id", {"user_gender": "gender", "user_age": "age"}),
         DimSpec(dims.province, "province_id", {
-            "province_name": F.col("name"), "province_iso_code": F.col("iso_code"),
-            "province_area_code": F.col("area_code"), "province_3166_2_code": F.col("iso_3166_2")}),
+            "province_name": "name", "province_iso_code": "iso_code",
+            "province_area_code": "area_code", "province_3166_2_code": "iso_3166_2"}),
         DimSpec(dims.sku, "sku_id", {
-            "sku_name": F.col("sku_name"), "order_price": F.col("price"), "spu_id": F.col("spu_id"),
-            "tm_id": F.col("tm_id"), "category3_id": F.col("category3_id")}),
-        DimSpec(dims.tm, "tm_id", {"tm_name": F.col("tm_name")}),
-        DimSpec(dims.spu, "spu_id", {"spu_name": F.col("spu_name")}),
-        DimSpec(dims.category3, "category3_id", {"category3_name": F.col("name")}),
+            "sku_name": "sku_name", "order_price": "price", "spu_id": "spu_id", "tm_id": "tm_id",
+            "category3_id": "category3_id"}),
+        DimSpec(dims.tm, "tm_id", {"tm_name": "tm_name"}),
+        DimSpec(dims.spu, "spu_id", {"spu_name": "spu_name"}),
+        DimSpec(dims.category3, "category3_id", {"category3_name": "name"}),
     ])
-    return full.select(*order)
+    return full.select(*wide.columns)
 
 
 def payment_wide(payments: DataFrame, order_wide: DataFrame, lower_ms: int = -45 * MINUTE,
@@ -99,11 +97,11 @@ def payment_wide(payments: DataFrame, order_wide: DataFrame, lower_ms: int = -45
     pairs = interval_join(
         _timed(payments, "p_", delay), _timed(order_wide, "w_", delay),
         "p_order_id", "w_order_id", "p_et", "w_et", lower_ms, upper_ms)
-    given = {c: F.col(f"w_{c}") for c in ORDER_WIDE.fieldNames()}
-    given |= {c: F.col(f"p_{c}") for c in _FROM_PAYMENT}
+    given = {c: f"w_{c}" for c in ORDER_WIDE.fieldNames()}
+    given |= {c: f"p_{c}" for c in _FROM_PAYMENT}
     given |= {
-        "payment_id": F.col("p_id"),
-        "payment_create_time": F.col("p_create_time"),
-        "order_create_time": F.col("w_create_time"),
+        "payment_id": "p_id",
+        "payment_create_time": "p_create_time",
+        "order_create_time": "w_create_time",
     }
-    return pairs.select(*_fill(PAYMENT_WIDE.fieldNames(), given, PAYMENT_WIDE))
+    return pairs.selectExpr(*_fill(PAYMENT_WIDE, given))

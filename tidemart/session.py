@@ -28,6 +28,8 @@ STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Stream joins keep their four state tables in one store per partition.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
     # The state channel of Python processors uses a socket file instead of a loopback port.
     "spark.python.unix.domain.socket.enabled": "true",
 }

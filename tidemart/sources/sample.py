@@ -6,191 +6,160 @@ it. No row is left out and none is added.
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.texts import to_lines
-from tidemart.functions.times import at_second, floor_div, stamp
+from tidemart.functions.times import at_second
 from tidemart.operators.wide import Dims
-from tidemart.schemas import MONEY
 from tidemart.sources.tables import read_table
 
 DAY_ONE = "2024-01-01 00:00:00"
-
-# The page each event type stands for.
-PAGES = {"click": "good_detail", "view": "good_list", "signup": "home", "purchase": "payment"}
-ENTRY_TYPES = ("signup", "view")
+_MONEY = "DECIMAL(20,2)"
+_STAMP = "'yyyy-MM-dd HH:mm:ss'"
 
 
-class Sample(NamedTuple):
-    """Readers bound to one folder of given tables."""
+class Sample:
+    """Readers bound to one folder of given tables; each table's schema is read once."""
 
-    spark: SparkSession
-    sf_dir: str
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     # ------------------------------------------------------------ logs
 
     def log(self) -> DataFrame:
         """``events`` as application log: errors are app starts, all others are pages."""
-        e = self.table("events")
-        text = {c: F.concat(F.lit(c), F.pmod("user_id", F.lit(n))) for c, n in
-                (("ar", 7), ("os", 2), ("ch", 4), ("md", 5), ("vc", 3), ("ba", 6))}
-        user = F.col("user_id").cast("string")
-        common = F.struct(
-            text["ar"].alias("ar"), user.alias("uid"), text["os"].alias("os"), text["ch"].alias("ch"),
-            F.when(F.col("event_type") == "signup", "1").otherwise("0").alias("is_new"),
-            text["md"].alias("md"), user.alias("mid"), text["vc"].alias("vc"), text["ba"].alias("ba"))
-        kind = F.col("event_type")
-        page_id = F.create_map(*[F.lit(x) for pair in PAGES.items() for x in pair])[kind]
-        page = F.when(kind != "error", F.struct(
-            page_id.alias("page_id"),
-            F.floor(F.col("value").cast("decimal(18,2)") * 1000).cast("bigint").alias("during_time"),
-            F.when(~kind.isin(*ENTRY_TYPES), "home").alias("last_page_id"),
-            F.get_json_object("props", "$.k").alias("item"),
-            F.lit("sku_id").alias("item_type")))
-        start = F.when(kind == "error", F.struct(
-            F.lit("icon").alias("entry"), (F.col("event_id") % 1000).alias("loading_time"),
-            F.lit(None).cast("string").alias("open_ad_id")))
-        shown = F.transform(
-            F.sequence(F.lit(1).cast("bigint"), F.col("event_id") % 4 + 1),
-            lambda i: F.struct(
-                ((F.col("event_id") * 7 + i) % 100).cast("string").alias("item"),
-                F.when(i % 2 == 1, "sku_id").otherwise("promotion_id").alias("item_type"),
-                i.alias("order")))
-        return e.select(
-            common.alias("common"), page.alias("page"), start.alias("start"),
-            F.when(F.col("event_id") % 5 != 0, shown).alias("displays"),
-            F.unix_millis("ts").alias("ts"), F.col("event_id").alias("rec_id"))
+        parts = {"ar": 7, "os": 2, "ch": 4, "md": 5, "vc": 3, "ba": 6}
+        c = {name: f"'{name}', concat('{name}', pmod(user_id, {n}))" for name, n in parts.items()}
+        return self.table("events").selectExpr(
+            f"""named_struct({c['ar']}, 'uid', CAST(user_id AS STRING), {c['os']}, {c['ch']},
+                'is_new', CASE WHEN event_type = 'signup' THEN '1' ELSE '0' END, {c['md']},
+                'mid', CAST(user_id AS STRING), {c['vc']}, {c['ba']}) AS common""",
+            """CASE WHEN event_type <> 'error' THEN named_struct(
+                'page_id', CASE event_type WHEN 'click' THEN 'good_detail' WHEN 'view' THEN 'good_list'
+                    WHEN 'signup' THEN 'home' WHEN 'purchase' THEN 'payment' END,
+                'during_time', CAST(floor(CAST(value AS DECIMAL(18,2)) * 1000) AS BIGINT),
+                'last_page_id', CASE WHEN event_type NOT IN ('signup', 'view') THEN 'home' END,
+                'item', get_json_object(props, '$.k'), 'item_type', 'sku_id') END AS page""",
+            """CASE WHEN event_type = 'error' THEN named_struct('entry', 'icon',
+                'loading_time', event_id % 1000, 'open_ad_id', CAST(NULL AS STRING)) END AS start""",
+            """CASE WHEN event_id % 5 <> 0 THEN transform(sequence(1L, event_id % 4 + 1), i -> named_struct(
+                'item', CAST((event_id * 7 + i) % 100 AS STRING),
+                'item_type', CASE WHEN i % 2 = 1 THEN 'sku_id' ELSE 'promotion_id' END,
+                'order', i)) END AS displays""",
+            "unix_millis(ts) AS ts", "event_id AS rec_id")
 
     def log_lines(self) -> DataFrame:
         return to_lines(self.log())
 
     def search_log(self) -> DataFrame:
         """``documents`` as searches: one page record per document, one minute apart."""
-        d = self.table("documents")
-        ts = F.unix_millis(F.to_timestamp(F.lit(DAY_ONE))) + F.col("doc_id") * 60_000
-        return d.select(
-            F.struct(F.lit("good_list").alias("page_id"), F.col("text").alias("item")).alias("page"),
-            ts.alias("ts"), F.col("doc_id").alias("rec_id")).withColumn("et", at_second(F.col("ts")))
+        return self.table("documents").selectExpr(
+            "named_struct('page_id', 'good_list', 'item', text) AS page",
+            f"unix_millis(TIMESTAMP '{DAY_ONE}') + doc_id * 60000 AS ts",
+            "doc_id AS rec_id").withColumn("et", at_second(F.col("ts")))
 
     # ------------------------------------------------------------ orders
 
     def orders(self) -> DataFrame:
-        o = self.table("orders")
-        key = F.col("o_orderkey")
-        total = F.col("o_totalprice").cast(MONEY)
-        activity, coupon = (key % 10).cast(MONEY), (key % 5).cast(MONEY)
-        return o.select(
-            key.alias("id"), (F.col("o_custkey") % 25).alias("province_id"),
-            F.col("o_orderstatus").alias("order_status"), F.col("o_custkey").alias("user_id"),
-            total.alias("total_amount"), activity.alias("activity_reduce_amount"),
-            coupon.alias("coupon_reduce_amount"),
-            (total + activity + coupon).cast(MONEY).alias("original_total_amount"),
-            (key % 20).cast(MONEY).alias("feight_fee"),
-            stamp(F.col("o_orderdate") + F.expr("INTERVAL 15 MINUTES")).alias("expire_time"),
-            stamp(F.col("o_orderdate")).alias("create_time"),
-            F.lit(None).cast("string").alias("operate_time"),
-            F.unix_millis("o_orderdate").alias("create_ts"))
+        activity, coupon = f"CAST(o_orderkey % 10 AS {_MONEY})", f"CAST(o_orderkey % 5 AS {_MONEY})"
+        return self.table("orders").selectExpr(
+            "o_orderkey AS id", "o_custkey % 25 AS province_id", "o_orderstatus AS order_status",
+            "o_custkey AS user_id", f"CAST(o_totalprice AS {_MONEY}) AS total_amount",
+            f"{activity} AS activity_reduce_amount", f"{coupon} AS coupon_reduce_amount",
+            f"CAST(CAST(o_totalprice AS {_MONEY}) + {activity} + {coupon} AS {_MONEY}) AS original_total_amount",
+            f"CAST(o_orderkey % 20 AS {_MONEY}) AS feight_fee",
+            f"date_format(o_orderdate + INTERVAL 15 MINUTES, {_STAMP}) AS expire_time",
+            f"date_format(o_orderdate, {_STAMP}) AS create_time",
+            "CAST(NULL AS STRING) AS operate_time", "unix_millis(o_orderdate) AS create_ts")
 
     def details(self) -> DataFrame:
-        li = self.table("lineitem")
-        price = F.col("l_extendedprice").cast(MONEY)
-        return li.select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
-            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("sku_id"),
-            price.alias("order_price"), F.col("l_quantity").cast("bigint").alias("sku_num"),
-            F.concat(F.lit("line "), F.col("l_partkey")).alias("sku_name"),
-            stamp(F.col("l_shipdate")).alias("create_time"), price.alias("split_total_amount"),
-            F.col("l_linenumber").cast(MONEY).alias("split_activity_amount"),
-            (F.col("l_linenumber") % 3).cast(MONEY).alias("split_coupon_amount"),
-            F.unix_millis("l_shipdate").alias("create_ts"))
+        return self.table("lineitem").selectExpr(
+            "l_orderkey * 10 + l_linenumber AS id", "l_orderkey AS order_id", "l_partkey AS sku_id",
+            f"CAST(l_extendedprice AS {_MONEY}) AS order_price", "CAST(l_quantity AS BIGINT) AS sku_num",
+            "concat('line ', l_partkey) AS sku_name", f"date_format(l_shipdate, {_STAMP}) AS create_time",
+            f"CAST(l_extendedprice AS {_MONEY}) AS split_total_amount",
+            f"CAST(l_linenumber AS {_MONEY}) AS split_activity_amount",
+            f"CAST(l_linenumber % 3 AS {_MONEY}) AS split_coupon_amount",
+            "unix_millis(l_shipdate) AS create_ts")
 
     def payments(self) -> DataFrame:
         """Finished orders, paid up to 59 minutes after the order."""
-        o = self.table("orders").where(F.col("o_orderstatus") == "F")
-        key = F.col("o_orderkey")
-        paid_ms = F.unix_millis("o_orderdate") + key % 60 * 60_000
-        paid = F.timestamp_millis(paid_ms)
-        return o.select(
-            (key + 1_000_000_000).alias("id"), key.alias("order_id"), F.col("o_custkey").alias("user_id"),
-            F.col("o_totalprice").cast(MONEY).alias("total_amount"),
-            F.concat(F.lit("order "), key).alias("subject"), F.col("o_orderpriority").alias("payment_type"),
-            stamp(paid).alias("create_time"), stamp(paid + F.expr("INTERVAL 5 SECONDS")).alias("callback_time"),
-            paid_ms.alias("create_ts"))
-
-    def _shop_events(self, kind: str) -> DataFrame:
-        return self.table("events").where(F.col("event_type") == kind).select(
-            F.col("event_id").alias("id"), F.get_json_object("props", "$.k").cast("bigint").alias("sku_id"),
-            stamp(F.col("ts")).alias("create_time"), "value", "user_id")
+        paid = "timestamp_millis(unix_millis(o_orderdate) + o_orderkey % 60 * 60000)"
+        return self.table("orders").where("o_orderstatus = 'F'").selectExpr(
+            "o_orderkey + 1000000000 AS id", "o_orderkey AS order_id", "o_custkey AS user_id",
+            f"CAST(o_totalprice AS {_MONEY}) AS total_amount", "concat('order ', o_orderkey) AS subject",
+            "o_orderpriority AS payment_type", f"date_format({paid}, {_STAMP}) AS create_time",
+            f"date_format({paid} + INTERVAL 5 SECONDS, {_STAMP}) AS callback_time",
+            f"unix_millis({paid}) AS create_ts")
+
+    def _shop_events(self, kind: str, *more: str) -> DataFrame:
+        return self.table("events").where(F.col("event_type") == kind).selectExpr(
+            "event_id AS id", "CAST(get_json_object(props, '$.k') AS BIGINT) AS sku_id", *more,
+            f"date_format(ts, {_STAMP}) AS create_time", "unix_millis(date_trunc('SECOND', ts)) AS create_ts")
 
     def favors(self) -> DataFrame:
-        return self._shop_events("view").select("id", "sku_id", "create_time")
+        return self._shop_events("view")
 
     def carts(self) -> DataFrame:
-        return self._shop_events("click").select("id", "sku_id", "create_time")
+        return self._shop_events("click")
 
     def refunds(self) -> DataFrame:
-        return self._shop_events("purchase").select(
-            "id", (F.col("id") % 50).alias("order_id"), "sku_id",
-            F.col("value").cast(MONEY).alias("refund_amount"), "create_time")
+        return self._shop_events(
+            "purchase", "event_id % 50 AS order_id", f"CAST(value AS {_MONEY}) AS refund_amount")
 
     def comments(self) -> DataFrame:
-        return self._shop_events("signup").select(
-            "id", "sku_id", (F.lit(1200) + F.col("id") % 6).cast("string").alias("appraise"), "create_time")
+        return self._shop_events("signup", "CAST(1200 + event_id % 6 AS STRING) AS appraise")
 
     # ------------------------------------------------------------ dimensions
 
     def dims(self) -> Dims:
-        part, customer = self.table("part"), self.table("customer")
-        nation, region = self.table("nation"), self.table("region")
-        brand = F.substring("p_brand", 7, 10).cast("bigint")
-        kind = F.ascii("p_type").cast("bigint") * 1000 + F.length("p_type")
-        spu = floor_div(F.col("p_partkey"), 4)
-        birthday = F.date_add(F.lit("1960-01-01").cast("date"), (F.col("c_custkey") % 15000).cast("int"))
+        brand = "CAST(substring(p_brand, 7, 10) AS BIGINT)"
+        kind = "CAST(ascii(p_type) * 1000 + length(p_type) AS BIGINT)"
+        part = self.table("part").selectExpr(
+            "*", f"{brand} AS brand", f"{kind} AS kind", "p_partkey div 4 AS spu")
         return Dims(
-            user=customer.select(
-                F.col("c_custkey").alias("id"),
-                F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M").alias("gender"),
-                birthday.alias("birthday")),
-            province=nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(
-                F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"),
-                F.concat(F.lit("ISO-"), F.col("n_nationkey")).alias("iso_code"),
-                F.col("r_name").alias("area_code"),
-                F.concat(F.lit("CN-"), F.col("n_nationkey")).alias("iso_3166_2")),
-            sku=part.select(
-                F.col("p_partkey").alias("id"), F.col("p_name").alias("sku_name"),
-                F.col("p_retailprice").cast(MONEY).alias("price"), spu.alias("spu_id"),
-                brand.alias("tm_id"), kind.alias("category3_id")),
-            spu=part.groupBy(spu.alias("id")).agg(F.min("p_name").alias("spu_name")),
-            tm=part.groupBy(brand.alias("id")).agg(F.min("p_brand").alias("tm_name")),
-            category3=part.groupBy(kind.alias("id")).agg(F.min("p_type").alias("name")))
+            user=self.table("customer").selectExpr(
+                "c_custkey AS id", "CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender",
+                "date_add(DATE '1960-01-01', CAST(c_custkey % 15000 AS INT)) AS birthday"),
+            province=self.table("nation").join(
+                self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").selectExpr(
+                "CAST(n_nationkey AS BIGINT) AS id", "n_name AS name",
+                "concat('ISO-', n_nationkey) AS iso_code", "r_name AS area_code",
+                "concat('CN-', n_nationkey) AS iso_3166_2"),
+            sku=part.selectExpr(
+                "p_partkey AS id", "p_name AS sku_name", f"CAST(p_retailprice AS {_MONEY}) AS price",
+                "spu AS spu_id", "brand AS tm_id", "kind AS category3_id"),
+            spu=part.groupBy(F.col("spu").alias("id")).agg(F.min("p_name").alias("spu_name")),
+            tm=part.groupBy(F.col("brand").alias("id")).agg(F.min("p_brand").alias("tm_name")),
+            category3=part.groupBy(F.col("kind").alias("id")).agg(F.min("p_type").alias("name")))
 
     # ------------------------------------------------------------ changes
 
     def change_lines(self) -> DataFrame:
         """``orders`` and ``customer`` rows as change-log lines of all kinds, clean and dirty."""
-        def line(rows: DataFrame, key: str, table: str, body: list) -> DataFrame:
-            k = F.col(key)
-            # The kinds a change log carries, by key.
-            kinds = F.array(*[F.lit(x) for x in (
-                "insert", "update", "bootstrap-insert", "delete", "bootstrap-start", "insert", "insert")])
-            return rows.select(F.to_json(F.struct(
-                F.when(k % 11 != 10, "shop").alias("database"), F.lit(table).alias("table"),
-                F.element_at(kinds, (k % 7 + 1).cast("int")).alias("type"),
-                (k + 1_600_000_000).alias("ts"), k.alias("xid"), F.lit(0).cast("bigint").alias("xoffset"),
-                F.struct(*[F.when(k % 7 != 5, F.col(c)).alias(n) for n, c in body]).alias("data"),
-            )).alias("value"))
-
-        orders = line(self.table("orders"), "o_orderkey", "order_info", [
-            ("id", "o_orderkey"), ("user_id", "o_custkey"), ("order_status", "o_orderstatus"),
-            ("note", "o_orderpriority")])
-        users = line(self.table("customer"), "c_custkey", "user_info", [
-            ("id", "c_custkey"), ("name", "c_name"), ("segment", "c_mktsegment")])
+        def line(table: str, key: str, name: str, body: dict[str, str]) -> DataFrame:
+            # Every seventh record has an empty body; to_json leaves null fields out.
+            data = ", ".join(f"'{k}', CASE WHEN {key} % 7 <> 5 THEN {v} END" for k, v in body.items())
+            return self.table(table).selectExpr(f"""to_json(named_struct(
+                'database', CASE WHEN {key} % 11 <> 10 THEN 'shop' END, 'table', '{name}',
+                'type', element_at(array('insert', 'update', 'bootstrap-insert', 'delete',
+                    'bootstrap-start', 'insert', 'insert'), CAST({key} % 7 + 1 AS INT)),
+                'ts', {key} + 1600000000, 'xid', {key}, 'xoffset', 0L,
+                'data', named_struct({data}))) AS value""")
+
+        orders = line("orders", "o_orderkey", "order_info", {
+            "id": "o_orderkey", "user_id": "o_custkey", "order_status": "o_orderstatus",
+            "note": "o_orderpriority"})
+        users = line("customer", "c_custkey", "user_info", {
+            "id": "c_custkey", "name": "c_name", "segment": "c_mktsegment"})
         return orders.unionByName(users)
 
     def routes(self) -> DataFrame:
@@ -208,15 +177,12 @@ class Sample(NamedTuple):
 
     def config_changes(self) -> DataFrame:
         """``orders`` as a long history of route edits, many per (source table, operation)."""
-        key = F.col("o_orderkey")
-        return self.table("orders").select(
-            F.concat(F.lit("table_"), F.col("o_custkey")).alias("source_table"),
-            F.when(key % 2 == 0, "insert").otherwise("update").alias("operate_type"),
-            F.when(F.col("o_orderstatus") == "P", "hbase").otherwise("kafka").alias("sink_type"),
-            F.concat(F.lit("sink_"), key % 40).alias("sink_table"),
-            F.concat(F.lit("id,c"), key % 9).alias("sink_columns"),
-            F.when(key % 3 == 0, "id").alias("sink_pk"),
-            F.lit(None).cast("string").alias("sink_extend"),
-            F.when(key % 10 == 9, "delete").when(key % 10 == 0, "snapshot")
-            .when(key % 10 < 5, "insert").otherwise("update").alias("op"),
-            key.alias("seq"))
+        return self.table("orders").selectExpr(
+            "concat('table_', o_custkey) AS source_table",
+            "CASE WHEN o_orderkey % 2 = 0 THEN 'insert' ELSE 'update' END AS operate_type",
+            "CASE WHEN o_orderstatus = 'P' THEN 'hbase' ELSE 'kafka' END AS sink_type",
+            "concat('sink_', o_orderkey % 40) AS sink_table", "concat('id,c', o_orderkey % 9) AS sink_columns",
+            "CASE WHEN o_orderkey % 3 = 0 THEN 'id' END AS sink_pk", "CAST(NULL AS STRING) AS sink_extend",
+            """CASE WHEN o_orderkey % 10 = 9 THEN 'delete' WHEN o_orderkey % 10 = 0 THEN 'snapshot'
+                WHEN o_orderkey % 10 < 5 THEN 'insert' ELSE 'update' END AS op""",
+            "o_orderkey AS seq")

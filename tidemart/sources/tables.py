@@ -15,9 +15,10 @@ BATCH = "batch_id"
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A parquet table whose zone-less timestamps become timestamps of the session's zone."""
     table = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    zoned = {f.name: F.col(f.name).cast("timestamp") for f in table.schema.fields
-             if f.dataType.typeName() == "timestamp_ntz"}
-    return table.withColumns(zoned) if zoned else table
+    zoned = [f.name for f in table.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
+    if not zoned:
+        return table
+    return table.selectExpr(*[f"CAST({c} AS TIMESTAMP) AS {c}" if c in zoned else c for c in table.columns])
 
 
 def read_dim(spark: SparkSession, path: str, table: str, columns: Sequence[str]) -> DataFrame:
