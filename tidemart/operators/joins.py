@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.times import floor_div
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+BROADCAST_LIMIT = 10 * 1024 * 1024
 SLICES_PER_SPAN = 10
 
 

@@ -19,9 +19,13 @@ class LogStreams(NamedTuple):
     display: DataFrame
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """JSON text to columns; missing keys are null."""
-    return lines.select(F.from_json(F.col(value), schema).alias("_r")).select("_r.*")
+def parse_lines(lines: DataFrame, schema: T.StructType, *keep: str) -> DataFrame:
+    """JSON text to columns, beside the columns in ``keep``; missing keys are null.
+
+    ``inline`` keeps later filters above the parser. As a plain projection they would be pushed below
+    it, with one more parse of the line for every column they name.
+    """
+    return lines.select(*keep, F.inline(F.array(F.from_json("value", schema))))
 
 
 def log_table(lines: DataFrame, schema: T.StructType = PAGE_LOG, delay: str | None = None) -> DataFrame:
@@ -49,19 +53,35 @@ def split_log(log: DataFrame) -> LogStreams:
         display=explode_displays(running))
 
 
-def explode_displays(log: DataFrame) -> DataFrame:
-    """One row per display with ts, page_id and the common fields.
-
-    On a name clash the common field wins, then ts and page_id, then the display's own field.
-    """
-    common = log.schema["common"].dataType.fieldNames()
+def _display_fields(log: DataFrame, display: str) -> dict[str, str]:
+    """SQL of each display column. A common field wins a name clash, then ts and page_id."""
     own = log.schema["displays"].dataType.elementType.fieldNames()
-    each = log.where(F.col("start").isNull()).select(
-        "common", "ts", F.col("page.page_id").alias("page_id"), F.explode("displays").alias("_d"))
-    names = [f"common.{c}" for c in common]
-    names += [c for c in ("ts", "page_id") if c not in common]
-    names += [f"_d.`{c}`" for c in own if c not in common and c not in ("ts", "page_id")]
-    return each.select(*names)
+    common = log.schema["common"].dataType.fieldNames()
+    fields = {c: f"{display}.`{c}`" for c in own}
+    fields |= {"ts": "ts", "page_id": "page.page_id"}
+    return fields | {c: f"common.`{c}`" for c in common}
+
+
+def explode_displays(log: DataFrame) -> DataFrame:
+    """One row per display with ts, page_id and the common fields."""
+    fields = _display_fields(log, "_d")
+    each = log.where(F.col("start").isNull()).select("common", "ts", "page", F.explode("displays").alias("_d"))
+    return each.selectExpr(*[f"{sql} AS `{name}`" for name, sql in fields.items()])
+
+
+def split_lines(log: DataFrame) -> DataFrame:
+    """The same split as (topic, value) lines of all three kinds, in one pass over the log."""
+    record = ", ".join(f"'{c}', {c}" for c in log.columns)
+    shown = ", ".join(f"'{name}', {sql}" for name, sql in _display_fields(log, "d").items())
+    whole = f"to_json(named_struct({record}))"
+    nothing = "CAST(array() AS array<struct<topic:string,value:string>>)"
+    return log.selectExpr(f"""inline(CASE
+        WHEN start IS NOT NULL THEN array(named_struct('topic', 'dwd_start_log', 'value', {whole}))
+        ELSE concat(
+            CASE WHEN page IS NOT NULL
+                THEN array(named_struct('topic', 'dwd_page_log', 'value', {whole})) ELSE {nothing} END,
+            coalesce(transform(displays, d -> named_struct(
+                'topic', 'dwd_display_log', 'value', to_json(named_struct({shown})))), {nothing})) END)""")
 
 
 def session_entries(page: DataFrame) -> DataFrame:

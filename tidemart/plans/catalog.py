@@ -15,6 +15,7 @@ from tidemart.functions import texts, times
 from tidemart.operators import cdc, dashboard, joins, keywords, logs, sequences, stats
 from tidemart.plans import warehouse
 from tidemart.schemas import CHANGE
+from tidemart.session import stored
 from tidemart.sources import tables
 from tidemart.sources.sample import Sample
 
@@ -66,8 +67,9 @@ def payment_wide_table(s: Sample) -> DataFrame:
 
 def product_facts(s: Sample) -> DataFrame:
     page, display = logs.split_log(s.log())[1:]
-    # Statistics read no dimension column of the wide facts, so the lookups are left out here.
-    orders = order_wide_base(s)
+    # Statistics read no dimension column of the wide facts, so the lookups are left out here. Two
+    # of the eight inputs read the order lines: they are joined once and kept as a table.
+    orders = stored(order_wide_base(s), "dwm_order_wide")
     payments = warehouse.payment_wide_table(s.payments(), orders, PARAMS)
     return stats.product_facts(page, display, s.favors(), s.carts(), orders, payments,
                                s.refunds(), s.comments())

@@ -29,7 +29,13 @@ class Params(NamedTuple):
 
 def visitor_table(page: DataFrame, params: Params = Params()) -> DataFrame:
     """Page log to visitor statistics."""
-    uv = sequences.daily_first_visit(page)
+    # Only these fields travel through the shuffles below, not whole records.
+    page = page.selectExpr(
+        "named_struct('mid', common.mid, 'vc', common.vc, 'ch', common.ch, 'ar', common.ar, "
+        "'is_new', common.is_new) AS common",
+        "named_struct('last_page_id', page.last_page_id, 'during_time', page.during_time) AS page",
+        "ts", "rec_id")
+    uv = sequences.daily_first_visit(page.drop("page"))
     uj = sequences.bounces(page, params.bounce_ms)
     facts = stats.visitor_facts(*[logs.with_event_time(x) for x in (page, uv, uj)])
     return stats.visitor_stats(facts, params.visitor_window)

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -62,6 +62,13 @@ def settings(spark: SparkSession, values: dict[str, str]):
                 spark.conf.set(key, value)
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Write a layer that several readers need to the shared folder, and read it from there."""
+    path = shared_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for ``name`` below the shared folder the cluster names.
 

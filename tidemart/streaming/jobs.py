@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.functions.texts import to_lines
 from tidemart.functions.times import floor_div
 from tidemart.operators import cdc, keywords, logs, sequences, stats, wide
 from tidemart.operators.wide import Dims
@@ -32,16 +31,12 @@ FIRST = T.StructType([
 
 def _parsed(lines: DataFrame, delay: str) -> DataFrame:
     """Log records beside their line, with watermark on the millisecond event time."""
-    both = lines.select(F.from_json("value", PAGE_LOG).alias("r"), "value").select("r.*", "value")
-    return logs.with_event_time(both, delay)
+    return logs.with_event_time(logs.parse_lines(lines, PAGE_LOG, "value"), delay)
 
 
 def split_topics(lines: DataFrame) -> DataFrame:
     """Raw log lines to (topic, value) lines of the start, page and display topics."""
-    streams = logs.split_log(logs.parse_lines(lines, PAGE_LOG))
-    parts = [to_lines(getattr(streams, kind)).withColumn("topic", F.lit(f"dwd_{kind}_log"))
-             for kind in streams._fields]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return logs.split_lines(logs.parse_lines(lines, PAGE_LOG))
 
 
 def repair_is_new(lines: DataFrame, size_s: int = 5, delay: str = "5 seconds") -> DataFrame:
@@ -151,10 +146,12 @@ def route_batch(read_config: Callable[[], DataFrame], path: str) -> Callable[[Da
     The configuration is read anew for every batch, so a changed route applies from the next batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
         facts, dims = cdc.split_routes(routed_changes(batch, read_config()))
         (routed_lines(facts).write.mode("overwrite").partitionBy("topic")
          .parquet(f"{path}/topics/batch_id={batch_id}"))
         write_batch(dims, f"{path}/dims", batch_id)
+        batch.unpersist()
     return write
 
 
@@ -162,18 +159,18 @@ def late_batch(path: str, size_ms: int, delay_ms: int) -> Callable[[DataFrame, i
     """For ``foreachBatch`` over rows with ``ts``: keep rows whose window had already closed.
 
     Spark itself drops such rows and only counts them. The watermark of a batch is the highest time
-    of all earlier batches less the delay; each batch stores its own highest time.
+    of all batches before it less the delay; each batch stores the highest time so far.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         mark = None
         if batch_id:
-            marks = spark.read.parquet(f"{path}/marks").where(F.col("batch_id") < batch_id)
-            mark = marks.agg(F.max("high")).first()[0]
+            mark = spark.read.parquet(f"{path}/marks/batch_id={batch_id - 1}").first()["high"]
         window_end = (floor_div(F.col("ts"), size_ms) + 1) * size_ms
         late = F.lit(False) if mark is None else window_end <= mark - delay_ms
         rows = f"{path}/rows/batch_id={batch_id}"
         batch.withColumn("late", late).write.mode("overwrite").partitionBy("late").parquet(rows)
-        (spark.read.parquet(rows).agg(F.max("ts").alias("high"))
+        high = F.greatest(F.max("ts"), F.lit(mark).cast("bigint")).alias("high")
+        (spark.read.parquet(rows).agg(high)
          .write.mode("overwrite").parquet(f"{path}/marks/batch_id={batch_id}"))
     return write
