@@ -69,6 +69,32 @@ def test_bounces_against_brute_force_with_a_hot_device(spark, both, slice_ms):
         brute_bounces(rows, 5000, both)
 
 
+@pytest.mark.parametrize("both", [True, False])
+def test_pile_of_one_time_is_cut_by_position(spark, both):
+    """Half of all records carry one device and one time; another device none, another no id."""
+    rng = random.Random(11)
+    rows = [("hot", "p", rng.choice([None, "home"]), 1000) if rng.random() < 0.5 else
+            (rng.choice(["", "a", "b"]), "p", rng.choice([None, "home"]), rng.randrange(0, 300_000))
+            for _ in range(4000)]
+    log = page_log(spark, rows)
+    cut = log.withColumn("common", F.col("common").withField(
+        "mid", F.when(F.col("common.mid") != "", F.col("common.mid"))))
+    got = sequences.bounces(cut, entry_after_entry=both, harmless_bytes=0)
+    assert sorted((m or "", ts) for m, ts in map(tuple, got.select("common.mid", "ts").collect())) == \
+        brute_bounces(rows, 5000, both)
+    assert got.columns == log.columns
+
+
+def test_cuts_of_a_pile_are_even(spark):
+    rows = spark.range(40_000).select(
+        F.lit("hot").alias("_mid"), F.lit(0).cast("bigint").alias("_slice"),
+        F.lit(5).cast("bigint").alias("_ts"), F.col("id").alias("_id"))
+    hot = sequences.hot_groups(rows, 0)
+    assert hot.count() == 1 and 900 < len(hot.first()["_cuts"]) <= 1000
+    assert sequences.hot_groups(rows, 1 << 40) is None
+    assert sequences.hot_groups(rows.withColumn("_mid", F.col("_id").cast("string")), 0) is None
+
+
 def test_hot_device_is_spread_over_slices(spark):
     """One device holds all rows; no (device, slice) group holds more than a small share."""
     rows = spark.range(20_000).select(F.lit("hot").alias("mid"), (F.col("id") * 1000).alias("ts"))

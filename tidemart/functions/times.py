@@ -57,8 +57,11 @@ def create_hour(text: Column) -> Column:
 
 
 def age_in_years(birthday: Column, as_of: Column) -> Column:
-    """Whole years of 365 days between the birthday's midnight and ``as_of`` (cut towards zero)."""
-    days = (F.unix_millis(as_of) - F.unix_millis(birthday.cast("timestamp"))) / DAY_MS
+    """Whole years of 365 days between the birthday's midnight and ``as_of`` (cut towards zero).
+
+    A missing or unreadable birthday gives null.
+    """
+    days = (F.unix_millis(as_of) - F.unix_millis(birthday.try_cast("timestamp"))) / DAY_MS
     years = days / 365
     return F.when(years < 0, F.ceil(years)).otherwise(F.floor(years)).cast("int")
 

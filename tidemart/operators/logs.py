@@ -91,12 +91,12 @@ def session_entries(page: DataFrame) -> DataFrame:
 def product_clicks(page: DataFrame) -> DataFrame:
     """Visits of a product's detail page."""
     return page.where(F.col("page.page_id") == "good_detail").select(
-        F.col("page.item").cast("bigint").alias("sku_id"), "ts")
+        F.col("page.item").try_cast("bigint").alias("sku_id"), "ts")
 
 
 def product_displays(display: DataFrame) -> DataFrame:
     return display.where(F.col("item_type") == "sku_id").select(
-        F.col("item").cast("bigint").alias("sku_id"), "ts")
+        F.col("item").try_cast("bigint").alias("sku_id"), "ts")
 
 
 def searches(page: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ broken client id) may hold a large part of the log:
 * first records come from a map-side combined aggregate, one small row per device and task;
 * the flag goes back to the log by record id, which spreads evenly;
 * the look-ahead of the bounce pattern is bounded by its time limit, so a device's records are cut
-  into time slices, and only the records just after a slice's end are copied into it.
+  into time slices, and only the records just after a slice's end are copied into it; a slice that
+  is still heavy (many records in one minute, or all with one time) is cut further by position.
 """
 
 from __future__ import annotations
@@ -16,9 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemart.functions.times import at_millis, floor_div
+from tidemart.operators.joins import planned_bytes
 from tidemart.operators.logs import entry_page
 
 SLICES_PER_LIMIT = 12
+HARMLESS_BYTES = 1 << 30
+SAMPLE_BYTES = 64 << 20
+HOT_SHARE = 0.001
 
 
 def device() -> Column:
@@ -53,7 +58,7 @@ def time_slices(ms: Column, limit_ms: int, slice_ms: int) -> Column:
 
 
 def bounces(page: DataFrame, limit_ms: int = 5000, *, entry_after_entry: bool = True,
-            slice_ms: int | None = None) -> DataFrame:
+            slice_ms: int | None = None, harmless_bytes: int = HARMLESS_BYTES) -> DataFrame:
     """Entry pages whose visitor left: no next page of the device within ``limit_ms``.
 
     An entry followed by another entry inside the limit is a bounce too, unless
@@ -67,13 +72,63 @@ def bounces(page: DataFrame, limit_ms: int = 5000, *, entry_after_entry: bool =
         entry.alias("_entry"),
         F.when(entry, F.struct(*page.columns)).alias("_r"),
         F.explode(time_slices(F.col("ts"), limit_ms, slice_ms)).alias("_slice"))
-    sliced = sliced.withColumn("_own", F.col("_slice") == floor_div(F.col("_ts"), slice_ms))
-    following = Window.partitionBy("_mid", "_slice").orderBy("_ts", "_id")
+    sliced = (sliced.withColumn("_own", F.col("_slice") == floor_div(F.col("_ts"), slice_ms))
+              .withColumn("_r", F.when(F.col("_own"), F.col("_r"))))
+    followed = with_next(sliced, F.struct("_ts", "_entry"), harmless_bytes)
     left = F.col("_next").isNull() | (F.col("_next._ts") - F.col("_ts") >= limit_ms)
     if entry_after_entry:
         left = left | F.col("_next._entry")
-    return (sliced
-            .withColumn("_r", F.when(F.col("_own"), F.col("_r")))
-            .withColumn("_next", F.lead(F.struct("_ts", "_entry")).over(following))
-            .where(F.col("_own") & F.col("_entry") & left)
-            .select("_r.*"))
+    return followed.where(F.col("_own") & F.col("_entry") & left).select("_r.*")
+
+
+def with_next(rows: DataFrame, value: Column, harmless_bytes: int = HARMLESS_BYTES) -> DataFrame:
+    """``_next``: the value of the following row by (_ts, _id) in the same (_mid, _slice)."""
+    hot = hot_groups(rows, harmless_bytes)
+    order = ["_ts", "_id"]
+    if hot is None:
+        following = Window.partitionBy("_mid", "_slice").orderBy(*order)
+        return rows.withColumn("_next", F.lead(value).over(following))
+    # Hot groups are cut into chunks at the given places, all others stay whole (chunk 0). The row
+    # after a chunk's last one is the head of the next chunk; there are few heads.
+    same = F.col("_mid").eqNullSafe(F.col("_hmid")) & (F.col("_slice") == F.col("_hslice"))
+    passed = F.filter("_cuts", lambda cut: cut <= F.struct(*order))
+    cut = (rows.join(F.broadcast(hot), same, "left")
+           .withColumn("_chunk", F.coalesce(F.size(passed), F.lit(0))))
+    heads = (cut.where(F.col("_hslice").isNotNull()).groupBy("_mid", "_slice", "_chunk")
+             .agg(F.min_by(value, F.struct(*order)).alias("_head")))
+    after = heads.select(
+        F.col("_mid").alias("_amid"), F.col("_slice").alias("_aslice"), F.col("_chunk").alias("_achunk"),
+        F.lead("_head").over(Window.partitionBy("_mid", "_slice").orderBy("_chunk")).alias("_head"))
+    following = Window.partitionBy("_mid", "_slice", "_chunk").orderBy(*order)
+    joined = (F.col("_mid").eqNullSafe(F.col("_amid")) & (F.col("_slice") == F.col("_aslice"))
+              & (F.col("_chunk") == F.col("_achunk")))
+    return (cut.withColumn("_next", F.lead(value).over(following))
+            .join(F.broadcast(after), joined, "left")
+            .withColumn("_next", F.coalesce("_next", "_head"))
+            .drop("_hmid", "_hslice", "_cuts", "_chunk", "_amid", "_aslice", "_achunk", "_head"))
+
+
+def hot_groups(rows: DataFrame, harmless_bytes: int) -> DataFrame | None:
+    """(_mid, _slice) groups with more than a ``HOT_SHARE`` of all rows, and where to cut them.
+
+    Found in a sample of about ``SAMPLE_BYTES``; a group the sample misses or cuts unevenly only
+    costs time, the result is the same. At most ``1 / HOT_SHARE`` groups and as many cuts exist, so
+    the answer is small whatever the data. None when there is none, or when all rows together are
+    few enough for one task.
+    """
+    size = planned_bytes(rows)
+    if size <= harmless_bytes:
+        return None
+    sample = rows.select("_mid", "_slice", "_ts", "_id").sample(min(1.0, SAMPLE_BYTES / size), seed=17)
+    sample.persist()
+    every = max(int(sample.count() * HOT_SHARE), 1)
+    places = F.sort_array(F.collect_list(F.struct("_ts", "_id")))
+    found = (sample.groupBy("_mid", "_slice").agg(F.count("*").alias("n"), places.alias("p"))
+             .where(F.col("n") > every)
+             .select("_mid", "_slice", F.expr(f"transform(sequence({every}, n - 1, {every}), i -> p[CAST(i AS INT)])"))
+             .collect())
+    sample.unpersist()
+    if not found:
+        return None
+    return rows.sparkSession.createDataFrame(
+        [tuple(r) for r in found], "_hmid string, _hslice long, _cuts array<struct<_ts:long,_id:long>>")

@@ -37,6 +37,12 @@ def batch_sink(stream: DataFrame, write: Batch, checkpoint: str, mode: str = "ap
             .option("checkpointLocation", checkpoint))
 
 
+def console_sink(stream: DataFrame, checkpoint: str, mode: str = "append") -> DataStreamWriter:
+    """Print a few rows of each batch."""
+    return (stream.writeStream.outputMode(mode).format("console").option("truncate", "false")
+            .option("checkpointLocation", checkpoint))
+
+
 def start(writer: DataStreamWriter, every: str = "3 seconds") -> StreamingQuery:
     """Run for good."""
     return writer.trigger(processingTime=every).start()
