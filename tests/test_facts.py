@@ -68,6 +68,21 @@ def test_interval_join_against_brute_force_with_a_hot_key(spark):
         assert sorted(tuple(r) for r in got.select("lid", "rid").collect()) == want
 
 
+def test_interval_join_is_exact_over_a_clock_change(spark):
+    """Two days are 48 hours, also in a zone whose clock changes in between."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        start, two_days = 1711796400_000, 2 * 86_400_000  # 2024-03-30 12:00 in Berlin
+        left = spark.range(1).select(F.col("id").alias("lk"), F.timestamp_millis(F.lit(start)).alias("lt"))
+        right = spark.range(-1, 2).select(F.lit(0).alias("rk"), F.col("id").alias("off"),
+                                          F.timestamp_millis(F.lit(start + two_days) + F.col("id")).alias("rt"))
+        got = joins.interval_join(left, right, "lk", "rk", "lt", "rt", 0, two_days)
+        assert sorted(r["off"] for r in got.collect()) == [-1, 0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_missing_dimension_gives_nulls(spark, sample):
     lines = frame(spark, ORDER_WIDE, dict(detail_id=1, sku_id=-5, user_id=None, province_id=3,
                                           sku_name="old", create_time=text(0)))

@@ -146,3 +146,21 @@ def test_empty_feed(spark):
 
 def test_shared_dir_is_below_the_named_folder(spark):
     assert shared_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir").rstrip("/") + "/tidemart/x-")
+
+
+def test_join_state_is_dropped_by_watermark(spark, sample):
+    """After the closing lines only those lines are left in the join's state."""
+    from tidemart.plans.catalog import PARAMS
+    from tidemart.plans.stream_catalog import order_feeds
+
+    base, left = shared_dir(spark, "t_state"), []
+
+    def run(t):
+        stream = jobs.order_wide(t["dwd_order_info"], t["dwd_order_detail"], None, None, PARAMS)
+        writer = runner.file_sink(stream, f"{base}/out", f"{base}/checkpoint")
+        query = writer.trigger(availableNow=True).start()
+        query.awaitTermination()
+        left.append(query.lastProgress.stateOperators[0].numRowsTotal)
+
+    runner.feed_rounds(spark, base, order_feeds(sample), run, 2)
+    assert left[0] > 100 and left[-1] <= 4

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.times import floor_div
+from tidemart.functions.times import DAY_MS, floor_div
 
 BROADCAST_LIMIT = 10 * 1024 * 1024
 SLICES_PER_SPAN = 10
+HOUR_MS = 3_600_000
 
 
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -31,9 +32,14 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     # Never null, so that the optimizer has no reason to compute the time once more in a filter.
     rhs = right.select("*", F.coalesce(floor_div(rms, slice_ms), F.lit(0)).alias("_rslice"))
     on = (F.col(left_key) == F.col(right_key)) & (F.col("_lslice") == F.col("_rslice"))
-    within = F.expr(
-        f"{right_ts} >= {left_ts} + INTERVAL {lower_ms} MILLISECONDS AND "
-        f"{right_ts} <= {left_ts} + INTERVAL {upper_ms} MILLISECONDS")
+    within = rms.between(lms + lower_ms, lms + upper_ms)
+    if left.isStreaming or right.isStreaming:
+        # Spark drops old state only by timestamp bounds. Intervals of whole days follow the zone's
+        # clock changes, so those bounds are an hour wider than the exact ones above.
+        slack = HOUR_MS if max(abs(lower_ms), abs(upper_ms)) >= DAY_MS else 0
+        within = within & F.expr(
+            f"{right_ts} >= {left_ts} + INTERVAL {lower_ms - slack} MILLISECONDS AND "
+            f"{right_ts} <= {left_ts} + INTERVAL {upper_ms + slack} MILLISECONDS")
     return lhs.join(rhs, on & within).drop("_lslice", "_rslice")
 
 

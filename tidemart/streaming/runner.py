@@ -130,6 +130,6 @@ def land(lines: DataFrame, landing: str) -> None:
 
 
 def state_partitions(spark: SparkSession) -> int:
-    """State partitions of a replay: as many as the session asks for, but no more than two waves."""
+    """State partitions of a replay: as many as the session asks for, but no more than one wave."""
     asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(asked, 2 * spark.sparkContext.defaultParallelism))
+    return max(1, min(asked, spark.sparkContext.defaultParallelism))
