@@ -164,3 +164,26 @@ def test_join_state_is_dropped_by_watermark(spark, sample):
 
     runner.feed_rounds(spark, base, order_feeds(sample), run, 2)
     assert left[0] > 100 and left[-1] <= 4
+
+
+def test_running_for_good(spark, tmp_path):
+    """The continuous runner, default windows and the current time as statistics time."""
+    def land(name, *texts):
+        lines = [("p", json.dumps({"page": {"page_id": "good_list", "item": x}, "ts": ts})) for x, ts in texts]
+        (spark.createDataFrame(lines, "topic string, value string")
+         .write.mode("append").partitionBy("topic").parquet(f"{tmp_path}/in"))
+
+    land("a", ("red ring RED", 1_000), ("ring", 9_000), ("ring", 11_000))
+    found = jobs.keyword_stats(by_topic(read_files(spark, f"{tmp_path}/in"), ["p"])["p"])
+    with runner.settings(spark, {"spark.sql.shuffle.partitions": "2"}):
+        query = runner.start(runner.file_sink(found, f"{tmp_path}/out", f"{tmp_path}/ck"), "1 second")
+        try:
+            query.processAllAvailable()
+            land("b", ("end", 60_000))
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    rows = spark.read.parquet(f"{tmp_path}/out").where("stt < '1970-01-01 00:00:10'").collect()
+    assert sorted((r["keyword"], r["ct"], r["edt"]) for r in rows) == [
+        ("red", 1, "1970-01-01 00:00:10"), ("ring", 2, "1970-01-01 00:00:10")]
+    assert all(r["ts"] > 1_700_000_000_000 and r["ts"] % 1000 == 0 for r in rows)

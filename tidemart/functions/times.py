@@ -44,6 +44,13 @@ def event_time(rows: DataFrame, text: str = "create_time") -> Column:
     return parse_datetime(F.col(text))
 
 
+def now_ms(as_of_ms: int | None = None) -> Column:
+    """Whole seconds of the current time in milliseconds (per micro-batch in a stream), or a given time."""
+    if as_of_ms is None:
+        return F.unix_timestamp() * 1000
+    return F.lit(as_of_ms).cast("bigint")
+
+
 def stamp(ts: Column) -> Column:
     return F.date_format(ts, DATETIME)
 

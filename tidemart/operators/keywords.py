@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.texts import words
+from tidemart.functions.times import now_ms
 from tidemart.schemas import KEYWORD_STATS
 
 
@@ -33,6 +34,6 @@ def unpivot_counts(sums: DataFrame) -> DataFrame:
     ).where(F.col("ct") > 0)
 
 
-def product_keywords(product_stats: DataFrame, as_of_ms: int) -> DataFrame:
+def product_keywords(product_stats: DataFrame, as_of_ms: int | None = None) -> DataFrame:
     rows = unpivot_counts(sum_words(product_words(product_stats)))
-    return rows.withColumn("ts", F.lit(as_of_ms).cast("bigint")).select(*KEYWORD_STATS)
+    return rows.withColumn("ts", now_ms(as_of_ms)).select(*KEYWORD_STATS)

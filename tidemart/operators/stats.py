@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.times import event_time, stamp, to_millis
+from tidemart.functions.times import event_time, now_ms, stamp, to_millis
 from tidemart.operators.joins import DimSpec, enrich
 from tidemart.operators.logs import entry_page, product_clicks, product_displays
 from tidemart.operators.wide import Dims
@@ -129,7 +129,7 @@ def add_product_names(measures: DataFrame, dims: Dims) -> DataFrame:
 
 # ---------------------------------------------------------------- provinces
 
-def province_stats(order_wide: DataFrame, as_of_ms: int, size: str = "5 seconds") -> DataFrame:
+def province_stats(order_wide: DataFrame, as_of_ms: int | None = None, size: str = "5 seconds") -> DataFrame:
     """Amount and number of distinct orders per window and province. Needs the event time ``et``."""
     place = {
         "province_id": "province_id", "province_name": "province_name",
@@ -142,16 +142,16 @@ def province_stats(order_wide: DataFrame, as_of_ms: int, size: str = "5 seconds"
     total = F.sum("split_total_amount").cast(MONEY_SUM).alias("order_amount")
     return (per_order.groupBy("window", *place)
             .agg(total, F.count("order_id").alias("order_count"))
-            .select(*_bounds(), "*", F.lit(as_of_ms).cast("bigint").alias("ts"))
+            .select(*_bounds(), "*", now_ms(as_of_ms).alias("ts"))
             .select(*PROVINCE_STATS))
 
 
 # ---------------------------------------------------------------- search words
 
-def keyword_stats(found: DataFrame, as_of_ms: int, size: str = "10 seconds") -> DataFrame:
+def keyword_stats(found: DataFrame, as_of_ms: int | None = None, size: str = "10 seconds") -> DataFrame:
     """Searches per window and word."""
     return (found.groupBy(F.window("et", size), F.col("word").alias("keyword"))
             .agg(F.count("*").alias("ct"))
             .select(*_bounds(), "keyword", F.lit("search").alias("source"), "ct",
-                    F.lit(as_of_ms).cast("bigint").alias("ts"))
+                    now_ms(as_of_ms).alias("ts"))
             .select(*KEYWORD_STATS))

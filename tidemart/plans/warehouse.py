@@ -63,16 +63,16 @@ def product_table(facts: DataFrame, dims: Dims, params: Params = Params()) -> Da
     return stats.add_product_names(measured, dims)
 
 
-def province_table(order_wide: DataFrame, as_of_ms: int, params: Params = Params()) -> DataFrame:
+def province_table(order_wide: DataFrame, as_of_ms: int | None, params: Params = Params()) -> DataFrame:
     timed = order_wide.withColumn("et", event_time(order_wide))
     return stats.province_stats(timed, as_of_ms, params.province_window)
 
 
-def search_table(page: DataFrame, as_of_ms: int, params: Params = Params()) -> DataFrame:
+def search_table(page: DataFrame, as_of_ms: int | None, params: Params = Params()) -> DataFrame:
     return stats.keyword_stats(logs.search_words(page), as_of_ms, params.keyword_window)
 
 
-def keyword_table(search: DataFrame, product_stats: DataFrame, as_of_ms: int) -> DataFrame:
+def keyword_table(search: DataFrame, product_stats: DataFrame, as_of_ms: int | None) -> DataFrame:
     """Keywords from searches and from product counts in one table."""
     return search.unionByName(keywords.product_keywords(product_stats, as_of_ms))
 

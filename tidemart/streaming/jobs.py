@@ -102,8 +102,8 @@ def payment_wide(payment_lines: DataFrame, wide_lines: DataFrame, params: Params
         params.payment_lower_ms, params.payment_upper_ms, delay)
 
 
-def province_stats(order_lines: DataFrame, detail_lines: DataFrame, dims: Dims, as_of: str,
-                   as_of_ms: int, params: Params = Params(), delay: str = "5 seconds") -> DataFrame:
+def province_stats(order_lines: DataFrame, detail_lines: DataFrame, dims: Dims, as_of: str | None = None,
+                   as_of_ms: int | None = None, params: Params = Params(), delay: str = "5 seconds") -> DataFrame:
     """Interval join, dimension lookups and windowed distinct count in one query."""
     joined = order_wide(order_lines, detail_lines, dims, as_of, params, delay)
     return stats.province_stats(joined, as_of_ms, params.province_window)
@@ -129,14 +129,17 @@ def product_stats(topics: dict[str, DataFrame], dims: Dims, params: Params = Par
     return stats.add_product_names(measured, dims)
 
 
-def keyword_stats(page_lines: DataFrame, as_of_ms: int, params: Params = Params(),
+def keyword_stats(page_lines: DataFrame, as_of_ms: int | None = None, params: Params = Params(),
                   delay: str = "3 seconds") -> DataFrame:
     log = logs.log_table(page_lines, PAGE_LOG, delay)
     return stats.keyword_stats(logs.search_words(log), as_of_ms, params.keyword_window)
 
 
-def product_keywords(stats_lines: DataFrame, as_of_ms: int) -> DataFrame:
-    """Keyword totals of product statistics, without a window: a total comes out again on each change."""
+def product_keywords(stats_lines: DataFrame, as_of_ms: int | None = None) -> DataFrame:
+    """Keyword totals of product statistics, without a window: a total comes out again on each change.
+
+    Run it in update mode into ``sinks.stats.upsert_batch``.
+    """
     return keywords.product_keywords(logs.parse_lines(stats_lines, PRODUCT_COUNTS), as_of_ms)
 
 
