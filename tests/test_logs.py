@@ -89,10 +89,11 @@ def test_cuts_of_a_pile_are_even(spark):
     rows = spark.range(40_000).select(
         F.lit("hot").alias("_mid"), F.lit(0).cast("bigint").alias("_slice"),
         F.lit(5).cast("bigint").alias("_ts"), F.col("id").alias("_id"))
-    hot = sequences.hot_groups(rows, 0)
+    place = F.struct("_ts", "_id")
+    hot = sequences.hot_groups(rows, place, 0)
     assert hot.count() == 1 and 900 < len(hot.first()["_cuts"]) <= 1000
-    assert sequences.hot_groups(rows, 1 << 40) is None
-    assert sequences.hot_groups(rows.withColumn("_mid", F.col("_id").cast("string")), 0) is None
+    assert sequences.hot_groups(rows, place, 1 << 40) is None
+    assert sequences.hot_groups(rows.withColumn("_mid", F.col("_id").cast("string")), place, 0) is None
 
 
 def test_hot_device_is_spread_over_slices(spark):

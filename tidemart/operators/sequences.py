@@ -83,33 +83,38 @@ def bounces(page: DataFrame, limit_ms: int = 5000, *, entry_after_entry: bool =
 
 def with_next(rows: DataFrame, value: Column, harmless_bytes: int = HARMLESS_BYTES) -> DataFrame:
     """``_next``: the value of the following row by (_ts, _id) in the same (_mid, _slice)."""
-    hot = hot_groups(rows, harmless_bytes)
-    order = ["_ts", "_id"]
+    place = F.struct("_ts", "_id", value.alias("_value"))
+    hot = hot_groups(rows, place, harmless_bytes)
     if hot is None:
-        following = Window.partitionBy("_mid", "_slice").orderBy(*order)
+        following = Window.partitionBy("_mid", "_slice").orderBy("_ts", "_id")
         return rows.withColumn("_next", F.lead(value).over(following))
-    # Hot groups are cut into chunks at the given places, all others stay whole (chunk 0). The row
-    # after a chunk's last one is the head of the next chunk; there are few heads.
+    # Hot groups are cut into chunks, all others stay whole. A cut is the place of a real row, so the
+    # row after a chunk's last one is the next cut itself.
     same = F.col("_mid").eqNullSafe(F.col("_hmid")) & (F.col("_slice") == F.col("_hslice"))
-    passed = F.filter("_cuts", lambda cut: cut <= F.struct(*order))
-    cut = (rows.join(F.broadcast(hot), same, "left")
-           .withColumn("_chunk", F.coalesce(F.size(passed), F.lit(0))))
-    heads = (cut.where(F.col("_hslice").isNotNull()).groupBy("_mid", "_slice", "_chunk")
-             .agg(F.min_by(value, F.struct(*order)).alias("_head")))
-    after = heads.select(
-        F.col("_mid").alias("_amid"), F.col("_slice").alias("_aslice"), F.col("_chunk").alias("_achunk"),
-        F.lead("_head").over(Window.partitionBy("_mid", "_slice").orderBy("_chunk")).alias("_head"))
-    following = Window.partitionBy("_mid", "_slice", "_chunk").orderBy(*order)
-    joined = (F.col("_mid").eqNullSafe(F.col("_amid")) & (F.col("_slice") == F.col("_aslice"))
-              & (F.col("_chunk") == F.col("_achunk")))
-    return (cut.withColumn("_next", F.lead(value).over(following))
-            .join(F.broadcast(after), joined, "left")
-            .withColumn("_next", F.coalesce("_next", "_head"))
-            .drop("_hmid", "_hslice", "_cuts", "_chunk", "_amid", "_aslice", "_achunk", "_head"))
-
-
-def hot_groups(rows: DataFrame, harmless_bytes: int) -> DataFrame | None:
-    """(_mid, _slice) groups with more than a ``HOT_SHARE`` of all rows, and where to cut them.
+    chunk = F.when(F.col("_cuts").isNotNull(), cuts_before(place)).otherwise(0)
+    cut = (rows.join(F.broadcast(hot), same, "left").withColumn("_chunk", chunk)
+           .withColumn("_after", F.get("_cuts", F.col("_chunk"))["_value"])
+           .drop("_hmid", "_hslice", "_cuts"))
+    following = Window.partitionBy("_mid", "_slice", "_chunk").orderBy("_ts", "_id")
+    return (cut.withColumn("_next", F.coalesce(F.lead(value).over(following), F.col("_after")))
+            .drop("_chunk", "_after"))
+
+
+def cuts_before(position: Column) -> Column:
+    """How many of the sorted ``_cuts`` are not after a position, by halving steps."""
+    most = int(1 / HOT_SHARE).bit_length()
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most))])
+
+    def step(passed: Column, width: Column) -> Column:
+        reached = passed + width
+        inside = (reached <= F.size("_cuts")) & (F.get("_cuts", reached - 1) <= position)
+        return F.when(inside, reached).otherwise(passed)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def hot_groups(rows: DataFrame, place: Column, harmless_bytes: int) -> DataFrame | None:
+    """(_mid, _slice) groups with more than a ``HOT_SHARE`` of all rows, and the places to cut them.
 
     Found in a sample of about ``SAMPLE_BYTES``; a group the sample misses or cuts unevenly only
     costs time, the result is the same. At most ``1 / HOT_SHARE`` groups and as many cuts exist, so
@@ -119,16 +124,14 @@ def hot_groups(rows: DataFrame, harmless_bytes: int) -> DataFrame | None:
     size = planned_bytes(rows)
     if size <= harmless_bytes:
         return None
-    sample = rows.select("_mid", "_slice", "_ts", "_id").sample(min(1.0, SAMPLE_BYTES / size), seed=17)
-    sample.persist()
+    sample = (rows.select("_mid", "_slice", place.alias("_place"))
+              .sample(min(1.0, SAMPLE_BYTES / size), seed=17).persist())
     every = max(int(sample.count() * HOT_SHARE), 1)
-    places = F.sort_array(F.collect_list(F.struct("_ts", "_id")))
-    found = (sample.groupBy("_mid", "_slice").agg(F.count("*").alias("n"), places.alias("p"))
+    cuts = f"transform(sequence({every}, n - 1, {every}), i -> p[CAST(i AS INT)]) AS _cuts"
+    found = (sample.groupBy("_mid", "_slice")
+             .agg(F.count("*").alias("n"), F.sort_array(F.collect_list("_place")).alias("p"))
              .where(F.col("n") > every)
-             .select("_mid", "_slice", F.expr(f"transform(sequence({every}, n - 1, {every}), i -> p[CAST(i AS INT)])"))
-             .collect())
+             .selectExpr("_mid AS _hmid", "_slice AS _hslice", cuts))
+    groups = found.collect()
     sample.unpersist()
-    if not found:
-        return None
-    return rows.sparkSession.createDataFrame(
-        [tuple(r) for r in found], "_hmid string, _hslice long, _cuts array<struct<_ts:long,_id:long>>")
+    return rows.sparkSession.createDataFrame(groups, found.schema) if groups else None
