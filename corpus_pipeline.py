@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm import common, quality_rules
+from tidemart.session import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -23,5 +24,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = common.stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -1,13 +1,10 @@
-"""What the operators of this subpackage share: table access, word rules, folds, shared folders."""
+"""What the operators of this subpackage share: table access, word rules, folds, batch sizes."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
 # White space of the word rule `[^\x20\x09-\x0D]+`.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -28,19 +25,9 @@ def fold(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3, F.lit(0))
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the one that the cluster names in ``spark.checkpoint.dir``."""
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if not base:
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
-    return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-
-
-def stored(rows: DataFrame, name: str) -> DataFrame:
-    """Rows written as Parquet to the shared folder and read back: cut lineage that survives lost executors."""
-    path = shared_folder(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+def arrow_rows(spark: SparkSession, rows: int = 256) -> None:
+    """Rows in one Arrow batch: few, because a text may be very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def remove(spark: SparkSession, rows: DataFrame) -> None:

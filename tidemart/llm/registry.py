@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from tidemart.llm.near_dedup import op3_minhash_near_dedup
 from tidemart.llm.quality_rules import op5_quality_rules
 
 QUERIES = {f.__name__: f for f in (
+    op3_minhash_near_dedup,
     op5_quality_rules,
 )}
 SQL: dict[str, str] = {}
