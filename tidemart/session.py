@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -70,12 +69,16 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for ``name`` below the shared folder the cluster names.
+    """A new folder for ``name`` below the shared folder that the cluster names.
 
-    A temporary folder of this machine is used only where the cluster names none (local tests).
+    Without ``spark.checkpoint.dir`` a local session gets a folder of its own on this machine, as all its
+    executors are on it; any other session fails, as its executors would not see each other's files.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        base = tempfile.mkdtemp(prefix="tidemart-")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
+        base = f"/tmp/tidemart-{uuid.uuid4().hex}"
         spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/tidemart/{name}-{uuid.uuid4().hex}"
