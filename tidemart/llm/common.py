@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # White space of the word rule `[^\x20\x09-\x0D]+`.
 SPACES = " \t\n\x0b\x0c\r"
@@ -35,3 +37,15 @@ def remove(spark: SparkSession, rows: DataFrame) -> None:
     for folder in {f.rsplit("/", 1)[0] for f in rows.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def with_fields(schema: T.StructType, *fields: T.StructField) -> T.StructType:
+    """The schema with ``fields`` at its end; fields of the same name are replaced."""
+    names = {f.name for f in fields}
+    return T.StructType([f for f in schema.fields if f.name not in names] + list(fields))
+
+
+def with_arrays(batch: pa.RecordBatch, more: dict[str, pa.Array]) -> pa.RecordBatch:
+    """The batch with ``more`` columns at its end; columns of the same name are replaced."""
+    kept = {n: batch.column(n) for n in batch.schema.names if n not in more}
+    return pa.RecordBatch.from_pydict({**kept, **more})

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from tidemart.llm.near_dedup import op3_minhash_near_dedup
 from tidemart.llm.quality_rules import op5_quality_rules
+from tidemart.llm.secrets import op4_secret_scan
 
 QUERIES = {f.__name__: f for f in (
     op3_minhash_near_dedup,
+    op4_secret_scan,
     op5_quality_rules,
 )}
 SQL: dict[str, str] = {}
