@@ -32,6 +32,11 @@ def arrow_rows(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def broadcast_if_small(ids: DataFrame, most: int = 2_000_000) -> DataFrame:
+    """A table of ids, broadcast if counted at most ``most`` (32 MB); beyond that joins shuffle."""
+    return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids
+
+
 def remove(spark: SparkSession, rows: DataFrame) -> None:
     """Delete a table that ``stored`` wrote, once nothing reads it any more."""
     for folder in {f.rsplit("/", 1)[0] for f in rows.inputFiles()}:

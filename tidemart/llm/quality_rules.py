@@ -122,7 +122,8 @@ def score(docs: DataFrame, ratio: Column, text: str = "text", buckets: int = BUC
 def quality_rules(docs: DataFrame, trusted: DataFrame, text: str = "text",
                   buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the base counts, ``score`` and ``kept``; ``trusted`` has the ids of target texts."""
-    ids = trusted.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
+    ids = common.broadcast_if_small(
+        trusted.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct())
     joined = docs.select("doc_id", text).join(ids, F.col("doc_id") == F.col("_id"), "left")
     counts = bucket_counts(joined, F.col("_id").isNotNull(), text, buckets)
     rows = score(base_counts(docs, text), weights(counts, buckets).scalar(), text, buckets)
