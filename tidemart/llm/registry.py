@@ -6,11 +6,14 @@ from tidemart.llm.byte_bpe import op8_byte_bpe
 from tidemart.llm.near_dedup import op3_minhash_near_dedup
 from tidemart.llm.quality_rules import op5_quality_rules
 from tidemart.llm.secrets import op4_secret_scan
+from tidemart.llm.warc import SQL as WARC_SQL
+from tidemart.llm.warc import op9_warc
 
 QUERIES = {f.__name__: f for f in (
     op3_minhash_near_dedup,
     op4_secret_scan,
     op5_quality_rules,
     op8_byte_bpe,
+    op9_warc,
 )}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op9_warc": WARC_SQL}
