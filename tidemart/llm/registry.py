@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemart.llm.byte_bpe import op8_byte_bpe
+from tidemart.llm.decontaminate import op7_decontamination
 from tidemart.llm.near_dedup import op3_minhash_near_dedup
 from tidemart.llm.quality_rules import op5_quality_rules
 from tidemart.llm.secrets import op4_secret_scan
@@ -13,6 +14,7 @@ QUERIES = {f.__name__: f for f in (
     op3_minhash_near_dedup,
     op4_secret_scan,
     op5_quality_rules,
+    op7_decontamination,
     op8_byte_bpe,
     op9_warc,
 )}
