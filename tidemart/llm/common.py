@@ -54,3 +54,15 @@ def with_arrays(batch: pa.RecordBatch, more: dict[str, pa.Array]) -> pa.RecordBa
     """The batch with ``more`` columns at its end; columns of the same name are replaced."""
     kept = {n: batch.column(n) for n in batch.schema.names if n not in more}
     return pa.RecordBatch.from_pydict({**kept, **more})
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, rows: int) -> DataFrame:
+    """(doc_id, text, label) of at most ``rows`` labelled documents outside the held-out third.
+
+    The ids are picked by a hash, so every run picks the same; as there are at most ``rows``, they are
+    broadcast. A document with several labels has the largest; repeated rows count once.
+    """
+    known = labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id")) != 1))
+    picked = known.groupBy("doc_id").agg(F.max(column).cast("int").alias("label")).orderBy(
+        F.xxhash64("doc_id"), "doc_id").limit(rows)
+    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])

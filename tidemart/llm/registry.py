@@ -7,10 +7,12 @@ from tidemart.llm.decontaminate import op7_decontamination
 from tidemart.llm.near_dedup import op3_minhash_near_dedup
 from tidemart.llm.quality_rules import op5_quality_rules
 from tidemart.llm.secrets import op4_secret_scan
+from tidemart.llm.toxicity import op1_toxicity
 from tidemart.llm.warc import SQL as WARC_SQL
 from tidemart.llm.warc import op9_warc
 
 QUERIES = {f.__name__: f for f in (
+    op1_toxicity,
     op3_minhash_near_dedup,
     op4_secret_scan,
     op5_quality_rules,
