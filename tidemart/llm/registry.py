@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemart.llm.byte_bpe import op8_byte_bpe
 from tidemart.llm.decontaminate import op7_decontamination
 from tidemart.llm.near_dedup import op3_minhash_near_dedup
+from tidemart.llm.pii import op10_pii
 from tidemart.llm.quality_classifier import op6_quality_classifier
 from tidemart.llm.quality_rules import op5_quality_rules
 from tidemart.llm.secrets import op4_secret_scan
@@ -21,5 +22,6 @@ QUERIES = {f.__name__: f for f in (
     op7_decontamination,
     op8_byte_bpe,
     op9_warc,
+    op10_pii,
 )}
 SQL: dict[str, str] = {"op9_warc": WARC_SQL}
