@@ -9,12 +9,14 @@ from tidemart.llm.pii import op10_pii
 from tidemart.llm.quality_classifier import op6_quality_classifier
 from tidemart.llm.quality_rules import op5_quality_rules
 from tidemart.llm.secrets import op4_secret_scan
+from tidemart.llm.substring_dedup import op2_substring_dedup
 from tidemart.llm.toxicity import op1_toxicity
 from tidemart.llm.warc import SQL as WARC_SQL
 from tidemart.llm.warc import op9_warc
 
 QUERIES = {f.__name__: f for f in (
     op1_toxicity,
+    op2_substring_dedup,
     op3_minhash_near_dedup,
     op4_secret_scan,
     op5_quality_rules,
