@@ -118,7 +118,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def signed(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, f1, f2, sig, bands); f1 and f2 are a 128-bit print of the set."""
-    return docs.select("doc_id", F.col(text).cast("binary").alias("raw")).mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), F.col(text).cast("binary").alias("raw")).mapInArrow(
         _sign, "doc_id long, n_shingles long, f1 long, f2 long, sig binary, bands array<long>")
 
 
@@ -131,7 +131,7 @@ def _beside(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
 
 def _of(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
     """(doc_id, raw) of the documents named in ``ids``."""
-    return docs.select("doc_id", F.col(text).cast("binary").alias("raw")).join(
+    return docs.select(F.col("doc_id").cast("long"), F.col(text).cast("binary").alias("raw")).join(
         common.broadcast_if_small(ids.distinct()), "doc_id", "left_semi")
 
 
