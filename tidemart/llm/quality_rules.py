@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemart.llm import common
 
 SYMBOLS = "#*$%&|<>"
-UNIT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]+"
+UNIT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}]+"
 BUCKETS = 1 << 16
 PRIOR = 5.0
 THRESHOLD = -0.5
