@@ -36,6 +36,7 @@ LEFT_CHARS = 200
 ROUNDS = 3
 LEAST_SUPPORT = 3
 LEAST_CONFIDENCE = 0.8
+BITS = 1 << 22
 
 
 def _found(text: str, kind: str) -> Column:
@@ -113,15 +114,36 @@ def instances(placed: DataFrame) -> DataFrame:
                    F.lit(False)).alias("seed"))
 
 
+def _bits(patterns: DataFrame) -> DataFrame:
+    """One row: an array of ``BITS`` bits in longs, set at the hashes of the patterns."""
+    at = F.pmod(F.col("h"), F.lit(BITS))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))
+    words = patterns.groupBy(F.floor(at / 64).alias("id")).agg(F.bit_or(mask).alias("bits"))
+    every = patterns.sparkSession.range(BITS // 64).join(words, "id", "left").na.fill(0, ["bits"])
+    return every.agg(F.sort_array(F.collect_list(F.struct("id", "bits"))).alias("b")).select(
+        F.transform("b", lambda x: x["bits"]).alias("bits"))
+
+
 def occurrences(docs: DataFrame, patterns: DataFrame, text: str = "text") -> DataFrame:
-    """(pattern, total): how often the two words stand before any token, over all documents."""
+    """(pattern, total): how often the two words stand before any token, over all documents.
+
+    A bit array of fixed size lets only hashes of patterns through, and a few others; these are counted,
+    and the counts, not the occurrences, are joined with the patterns.
+    """
+    parts = F.split("pattern", " ")
+    hashed = patterns.withColumn("h", F.xxhash64(parts[0], parts[1]))
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda w: w != "")
-    rows = docs.select(words.alias("_w")).where("size(_w) > 2")
+    rows = docs.select(words.alias("_w")).where("size(_w) > 2").withColumn("_b", _bits(hashed).scalar())
     pairs = F.transform(F.sequence(F.lit(0), F.size("_w") - 3),
-                        lambda i: F.concat_ws(" ", F.col("_w")[i], F.col("_w")[i + 1]))
-    each = rows.select(F.explode(pairs).alias("pattern"))
-    return each.join(common.broadcast_if_small(patterns, 200_000), "pattern").groupBy("pattern").agg(
-        F.count("*").alias("total"))
+                        lambda i: F.xxhash64(F.col("_w")[i], F.col("_w")[i + 1]))
+
+    def known(h: Column) -> Column:
+        at = F.pmod(h, F.lit(BITS))
+        return F.getbit(F.col("_b")[F.floor(at / 64).cast("int")], (at % 64).cast("int")) == 1
+
+    each = rows.select(F.explode(F.filter(pairs, known)).alias("h"))
+    counts = each.groupBy("h").agg(F.count("*").alias("total"))
+    return hashed.join(counts, "h").select("pattern", "total")
 
 
 def trusted_patterns(edges: DataFrame, totals: DataFrame, rounds: int = ROUNDS,
