@@ -22,6 +22,16 @@ def words(text: Column) -> Column:
     return F.coalesce(parts, F.array().cast("array<string>"))
 
 
+def computed(rows: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``rows`` with columns that later filters do not move: a generator of one row stands between.
+
+    A filter on a column of a projection is pushed below it with the column's expression in its place, and
+    an array that a lambda reads would then be made anew for each of its elements.
+    """
+    kept = [c for c in rows.columns if c not in columns]
+    return rows.select(*kept, F.inline(F.array(F.struct(*[v.alias(k) for k, v in columns.items()]))))
+
+
 def fold(doc_id: Column) -> Column:
     """crc32 of the id as text, modulo 3; labels are learned only where it is not 1."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3, F.lit(0))

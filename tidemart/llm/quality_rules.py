@@ -57,7 +57,7 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         | F.when(j < F.size("_s") - 1, same(j, j + 1)).otherwise(False))
     covered = F.flatten(F.transform(twice, lambda j: F.sequence(
         F.col("_s")[j]["i"], F.col("_s")[j]["i"] + 2)))
-    rows = rows.withColumns({
+    rows = common.computed(rows, {
         "n_words": F.size("_w").cast("long"),
         "word_chars": _without(whole, common.SPACES).cast("long"),
         "n_symbols": (F.length(whole) - _without(whole, SYMBOLS)).cast("long"),
@@ -116,7 +116,7 @@ def score(docs: DataFrame, ratio: Column, text: str = "text", buckets: int = BUC
         "_n", F.lit(0.0), lambda acc, n: acc + F.col("_r")[n["one"]]
         + F.coalesce(F.col("_r")[n["two"]], F.lit(0.0)))
     n = 2 * F.size("_n") - 1
-    return rows.withColumn("score", F.when(n > 0, total / n)).drop("_u", "_r", "_n")
+    return common.computed(rows, {"score": F.when(n > 0, total / n)}).drop("_u", "_r", "_n")
 
 
 def quality_rules(docs: DataFrame, trusted: DataFrame, text: str = "text",
