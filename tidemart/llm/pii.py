@@ -87,8 +87,9 @@ def spans(found: DataFrame) -> DataFrame:
         F.col("end").cast("int").alias("end"), "value", "left")
     placed = placed.withColumn("_n", F.regexp_replace("value", "[^0-9]", ""))
     parts = F.split("value", r"\.")
-    small = F.forall(parts, lambda p: F.length(F.ltrim(F.lit("0"), p)) <= F.when(
-        F.ltrim(F.lit("0"), p) > "255", 2).otherwise(3))
+    # As text without leading zeros: at most 255 means three digits up to "255", or fewer digits.
+    small = F.forall(F.transform(parts, lambda p: F.ltrim(p, F.lit("0"))), lambda p: F.length(p) <= F.when(
+        p > "255", 2).otherwise(3))
     fine = (F.when(F.col("kind") == 1, small).when(F.col("kind") == 2, _luhn("_n"))
             .when(F.col("kind") == 3, F.length("_n").between(8, 15)).otherwise(F.lit(True)))
     return placed.where(fine).drop("_n")
