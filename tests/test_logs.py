@@ -1,5 +1,6 @@
 """Log layer: splitting, displays, sequences, on hand-made rows and against brute force."""
 
+import json
 import random
 
 import pytest
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemart.operators import logs, sequences
 from tidemart.schemas import PAGE_LOG
+from tidemart.session import settings
+from tidemart.sources.topics import broker_lines
 
 HOME_ROWS = [  # mid, page, last page, ts
     ("101", "home", None, 1000), ("101", "home", None, 2000), ("102", "home", None, 1000),
@@ -79,7 +82,7 @@ def test_pile_of_one_time_is_cut_by_position(spark, both):
     log = page_log(spark, rows)
     cut = log.withColumn("common", F.col("common").withField(
         "mid", F.when(F.col("common.mid") != "", F.col("common.mid"))))
-    got = sequences.bounces(cut, entry_after_entry=both, harmless_bytes=0)
+    got = sequences.bounces(cut, entry_after_entry=both, chunk_rows=16)
     assert sorted((m or "", ts) for m, ts in map(tuple, got.select("common.mid", "ts").collect())) == \
         brute_bounces(rows, 5000, both)
     assert got.columns == log.columns
@@ -90,10 +93,15 @@ def test_cuts_of_a_pile_are_even(spark):
         F.lit("hot").alias("_mid"), F.lit(0).cast("bigint").alias("_slice"),
         F.lit(5).cast("bigint").alias("_ts"), F.col("id").alias("_id"))
     place = F.struct("_ts", "_id")
-    hot = sequences.hot_groups(rows, place, 0)
-    assert hot.count() == 1 and 900 < len(hot.first()["_cuts"]) <= 1000
+    hot = sequences.hot_groups(rows, place, 1000)
+    cuts = [c["_id"] for c in hot.first()["_cuts"]]
+    sizes = [b - a for a, b in zip([0, *cuts], [*cuts, 40_000])]
+    assert hot.count() == 1 and 30 <= len(cuts) <= 50 and max(sizes) < 4000
+    # A frame made of rows, whose plan has no size, is cut in the same way.
+    small = spark.createDataFrame(rows.limit(3000).rdd, rows.schema)
+    assert len(sequences.hot_groups(small, place, 100).first()["_cuts"]) > 20
     assert sequences.hot_groups(rows, place, 1 << 40) is None
-    assert sequences.hot_groups(rows.withColumn("_mid", F.col("_id").cast("string")), place, 0) is None
+    assert sequences.hot_groups(rows.withColumn("_mid", F.col("_id").cast("string")), place, 1000) is None
 
 
 def test_hot_device_is_spread_over_slices(spark):
@@ -122,6 +130,29 @@ def test_repair_and_first_visit_against_brute_force(spark):
     assert visits_of_days == {i for _, i in daily.values()}
 
 
+def test_records_without_id_take_their_position_or_fail(spark):
+    lines = spark.createDataFrame([
+        (json.dumps({"common": {"mid": m, "is_new": "0"}, "page": {"page_id": "p"}, "ts": ts}), at)
+        for m, ts, at in [("a", 5, 7), ("a", 9, 8), ("b", 6, 9)]], "value string, position long")
+    log = logs.parse_lines(lines, PAGE_LOG)
+    fixed = sequences.repair_is_new(log).select("rec_id", "common.is_new").collect()
+    assert sorted(map(tuple, fixed)) == [(7, "1"), (8, "0"), (9, "1")]
+    with pytest.raises(Exception, match="no rec_id"):
+        sequences.repair_is_new(logs.parse_lines(lines.drop("position"), PAGE_LOG)).collect()
+
+
+def test_broker_position_is_one_number(spark):
+    records = spark.createDataFrame([("t", bytearray(b"x"), 3, 5)], "topic string, value binary, partition int, offset long")
+    assert tuple(broker_lines(records).first()) == ("t", "x", (3 << 48) + 5)
+
+
+def test_days_follow_the_session_zone(spark):
+    log = page_log(spark, [("a", "p", None, 15 * 3_600_000), ("a", "p", None, 17 * 3_600_000)])
+    assert sequences.daily_first_visit(log).count() == 1
+    with settings(spark, {"spark.sql.session.timeZone": "Asia/Shanghai"}):
+        assert sequences.daily_first_visit(log).count() == 2
+
+
 def test_visits_around_midnight_count_for_both_days(spark):
     day = 86_400_000
     log = page_log(spark, [("a", "p", None, day - 2000), ("a", "p", None, day + 2000)])

@@ -23,9 +23,20 @@ def parse_lines(lines: DataFrame, schema: T.StructType, *keep: str) -> DataFrame
     """JSON text to columns, beside the columns in ``keep``; missing keys are null.
 
     ``inline`` keeps later filters above the parser. As a plain projection they would be pushed below
-    it, with one more parse of the line for every column they name.
+    it, with one more parse of the line for every column they name. A record's ``rec_id`` is the position
+    that the reader gives it; only without one the line's own field counts.
     """
-    return lines.select(*keep, F.inline(F.array(F.from_json("value", schema))))
+    record = F.from_json("value", schema)
+    if "position" in lines.columns and "rec_id" in schema.fieldNames():
+        rows = lines.select("position", *keep, F.inline(F.array(record)))
+        return rows.withColumn("rec_id", F.coalesce("position", "rec_id")).drop("position")
+    return lines.select(*keep, F.inline(F.array(record)))
+
+
+def with_known_id(log: DataFrame) -> DataFrame:
+    """The same rows; one without ``rec_id`` is an error, because nothing would ever match it."""
+    missing = F.raise_error(F.lit("a record has no rec_id: read it with its position in the topic"))
+    return log.withColumn("rec_id", F.coalesce("rec_id", missing.cast("long")))
 
 
 def log_table(lines: DataFrame, schema: T.StructType = PAGE_LOG, delay: str | None = None) -> DataFrame:

@@ -17,13 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemart.functions.times import at_millis, floor_div
-from tidemart.operators.joins import planned_bytes
-from tidemart.operators.logs import entry_page
+from tidemart.operators.logs import entry_page, with_known_id
 
 SLICES_PER_LIMIT = 12
-HARMLESS_BYTES = 1 << 30
-SAMPLE_BYTES = 64 << 20
-HOT_SHARE = 0.001
+# Rows of one window task at most, and how many sampled places lie between two cuts.
+CHUNK_ROWS = 1_000_000
+PLACES_PER_CHUNK = 16
 
 
 def device() -> Column:
@@ -33,8 +32,9 @@ def device() -> Column:
 def repair_is_new(log: DataFrame) -> DataFrame:
     """``common.is_new`` becomes 1 on a device's earliest record and 0 on all its others.
 
-    ``rec_id`` must be unique; the earliest record is the least (ts, rec_id).
+    ``rec_id`` must be unique and is never null; the earliest record is the least (ts, rec_id).
     """
+    log = with_known_id(log)
     first = (log.groupBy(device().alias("_mid"))
              .agg(F.min(F.struct("ts", "rec_id")).alias("_first"))
              .select("_mid", F.col("_first.rec_id").alias("_rec")))
@@ -44,13 +44,17 @@ def repair_is_new(log: DataFrame) -> DataFrame:
 
 
 def daily_first_visit(page: DataFrame) -> DataFrame:
-    """The earliest record of each device on each calendar day."""
-    day = F.to_date(at_millis(F.col("ts")))
+    """The earliest record of each device on each calendar day of the session's time zone."""
+    day = calendar_day(F.col("ts"))
     return (page.groupBy(device().alias("_mid"), day.alias("_day"))
             .agg(F.min_by(F.struct(*page.columns), F.struct("ts", "rec_id")).alias("_r"))
             .select("_r.*"))
 
 
+def calendar_day(ms: Column) -> Column:
+    return F.to_date(at_millis(ms))
+
+
 def time_slices(ms: Column, limit_ms: int, slice_ms: int) -> Column:
     """The slice of a record, and also the slice before it when the record may follow an entry there."""
     own = floor_div(ms, slice_ms)
@@ -58,7 +62,7 @@ def time_slices(ms: Column, limit_ms: int, slice_ms: int) -> Column:
 
 
 def bounces(page: DataFrame, limit_ms: int = 5000, *, entry_after_entry: bool = True,
-            slice_ms: int | None = None, harmless_bytes: int = HARMLESS_BYTES) -> DataFrame:
+            slice_ms: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Entry pages whose visitor left: no next page of the device within ``limit_ms``.
 
     An entry followed by another entry inside the limit is a bounce too, unless
@@ -74,17 +78,17 @@ def bounces(page: DataFrame, limit_ms: int = 5000, *, entry_after_entry: bool =
         F.explode(time_slices(F.col("ts"), limit_ms, slice_ms)).alias("_slice"))
     sliced = (sliced.withColumn("_own", F.col("_slice") == floor_div(F.col("_ts"), slice_ms))
               .withColumn("_r", F.when(F.col("_own"), F.col("_r"))))
-    followed = with_next(sliced, F.struct("_ts", "_entry"), harmless_bytes)
+    followed = with_next(sliced, F.struct("_ts", "_entry"), chunk_rows)
     left = F.col("_next").isNull() | (F.col("_next._ts") - F.col("_ts") >= limit_ms)
     if entry_after_entry:
         left = left | F.col("_next._entry")
     return followed.where(F.col("_own") & F.col("_entry") & left).select("_r.*")
 
 
-def with_next(rows: DataFrame, value: Column, harmless_bytes: int = HARMLESS_BYTES) -> DataFrame:
+def with_next(rows: DataFrame, value: Column, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """``_next``: the value of the following row by (_ts, _id) in the same (_mid, _slice)."""
     place = F.struct("_ts", "_id", value.alias("_value"))
-    hot = hot_groups(rows, place, harmless_bytes)
+    hot = hot_groups(rows, place, chunk_rows)
     if hot is None:
         following = Window.partitionBy("_mid", "_slice").orderBy("_ts", "_id")
         return rows.withColumn("_next", F.lead(value).over(following))
@@ -102,8 +106,7 @@ def with_next(rows: DataFrame, value: Column, harmless_bytes: int = HARMLESS_BYT
 
 def cuts_before(position: Column) -> Column:
     """How many of the sorted ``_cuts`` are not after a position, by halving steps."""
-    most = int(1 / HOT_SHARE).bit_length()
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(most))])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(30))])
 
     def step(passed: Column, width: Column) -> Column:
         reached = passed + width
@@ -113,25 +116,25 @@ def cuts_before(position: Column) -> Column:
     return F.aggregate(steps, F.lit(0), step)
 
 
-def hot_groups(rows: DataFrame, place: Column, harmless_bytes: int) -> DataFrame | None:
-    """(_mid, _slice) groups with more than a ``HOT_SHARE`` of all rows, and the places to cut them.
+def hot_groups(rows: DataFrame, place: Column, chunk_rows: int = CHUNK_ROWS) -> DataFrame | None:
+    """(_mid, _slice) groups of more than ``chunk_rows`` rows, and the places to cut them; None without any.
 
-    Found in a sample of about ``SAMPLE_BYTES``; a group the sample misses or cuts unevenly only
-    costs time, the result is the same. At most ``1 / HOT_SHARE`` groups and as many cuts exist, so
-    the answer is small whatever the data. None when there is none, or when all rows together are
-    few enough for one task.
+    Groups are counted over all rows. Their cuts come from places picked by a hash of the record id, about
+    ``PLACES_PER_CHUNK`` in ``chunk_rows``, so chunks keep their size and their number grows with the data.
+    An uneven cut only costs time. There is one cut per chunk, so the answer is small beside the data.
     """
-    size = planned_bytes(rows)
-    if size <= harmless_bytes:
+    counted = (rows.groupBy("_mid", "_slice").agg(F.count("*").alias("n"))
+               .where(F.col("n") > chunk_rows).select(F.col("_mid").alias("_hmid"), F.col("_slice").alias("_hslice")))
+    hot = counted.collect()
+    if not hot:
         return None
-    sample = (rows.select("_mid", "_slice", place.alias("_place"))
-              .sample(min(1.0, SAMPLE_BYTES / size), seed=17).persist())
-    every = max(int(sample.count() * HOT_SHARE), 1)
-    cuts = f"transform(sequence({every}, n - 1, {every}), i -> p[CAST(i AS INT)]) AS _cuts"
-    found = (sample.groupBy("_mid", "_slice")
-             .agg(F.count("*").alias("n"), F.sort_array(F.collect_list("_place")).alias("p"))
-             .where(F.col("n") > every)
-             .selectExpr("_mid AS _hmid", "_slice AS _hslice", cuts))
+    same = F.col("_mid").eqNullSafe(F.col("_hmid")) & (F.col("_slice") == F.col("_hslice"))
+    picked = F.pmod(F.xxhash64("_id", "_ts"), F.lit(chunk_rows)) < PLACES_PER_CHUNK
+    within = rows.where(picked).join(F.broadcast(rows.sparkSession.createDataFrame(hot, counted.schema)), same)
+    cuts = (f"transform(sequence({PLACES_PER_CHUNK}, greatest(n - 1, {PLACES_PER_CHUNK}), {PLACES_PER_CHUNK}), "
+            "i -> get(p, CAST(i AS INT))) AS _cuts")
+    found = (within.groupBy("_hmid", "_hslice")
+             .agg(F.count("*").alias("n"), F.sort_array(F.collect_list(place)).alias("p"))
+             .where(F.col("n") > PLACES_PER_CHUNK).selectExpr("_hmid", "_hslice", cuts))
     groups = found.collect()
-    sample.unpersist()
     return rows.sparkSession.createDataFrame(groups, found.schema) if groups else None

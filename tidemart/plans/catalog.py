@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemart.functions import texts, times
 from tidemart.operators import cdc, dashboard, joins, keywords, logs, sequences, stats
 from tidemart.plans import warehouse
-from tidemart.schemas import CHANGE
+from tidemart.schemas import CHANGE, PAGE_LOG
 from tidemart.session import stored
 from tidemart.sources import tables
 from tidemart.sources.sample import Sample
@@ -102,6 +102,14 @@ def json_log_scan(s: Sample) -> DataFrame:
     return flat_log(log, times.stamp(F.col("et")).alias("et"))
 
 
+def repair_is_new_raw(s: Sample) -> DataFrame:
+    """The same repair on lines without an id of their own: the reader's position is the id."""
+    log = s.log()
+    line = F.to_json(F.struct(*[c for c in log.columns if c != "rec_id"])).alias("value")
+    lines = log.select(F.col("rec_id").alias("position"), line)
+    return flat_log(sequences.repair_is_new(logs.parse_lines(lines, PAGE_LOG)))
+
+
 def to_json_rows(s: Sample) -> DataFrame:
     rows = s.payments().select("id", "order_id", "payment_type", "create_time", F.when(
         F.col("id") % 2 == 0, F.col("subject")).alias("subject"))
@@ -224,6 +232,7 @@ TABLE_QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "payment_wide": payment_wide_table,
     # sequences
     "repair_is_new": lambda s: flat_log(sequences.repair_is_new(s.log())),
+    "repair_is_new_raw": repair_is_new_raw,
     "daily_first_visit": lambda s: flat_log(sequences.daily_first_visit(pages(s))),
     "jump_timeout_only": lambda s: flat_log(
         sequences.bounces(pages(s), PARAMS.bounce_ms, entry_after_entry=False)),

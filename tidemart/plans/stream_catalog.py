@@ -45,8 +45,7 @@ def log_feed(log: DataFrame, closing: str | None = CLOSING_PAGE) -> Feed:
 
 
 def fact_feed(rows: DataFrame, time: str = "create_time", **closing) -> Feed:
-    lines = to_lines(rows.withColumn("_ts", to_millis(F.col(time)))).select(
-        F.get_json_object("value", "$._ts").cast("bigint").alias("ts"), "value")
+    lines = to_lines(rows.withColumn("_ts", to_millis(F.col(time))), "_ts").withColumnRenamed("_ts", "ts")
     return Feed(lines, line(**closing) if closing else None)
 
 

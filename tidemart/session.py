@@ -82,3 +82,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         base = f"/tmp/tidemart-{uuid.uuid4().hex}"
         spark.conf.set(CHECKPOINT_DIR, base)
     return f"{base.rstrip('/')}/tidemart/{name}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

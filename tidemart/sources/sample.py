@@ -91,9 +91,9 @@ class Sample:
             "unix_millis(l_shipdate) AS create_ts")
 
     def payments(self) -> DataFrame:
-        """Finished orders, paid up to 59 minutes after the order."""
+        """Every order, paid up to 59 minutes after the order."""
         paid = "timestamp_millis(unix_millis(o_orderdate) + o_orderkey % 60 * 60000)"
-        return self.table("orders").where("o_orderstatus = 'F'").selectExpr(
+        return self.table("orders").selectExpr(
             "o_orderkey + 1000000000 AS id", "o_orderkey AS order_id", "o_custkey AS user_id",
             f"CAST(o_totalprice AS {_MONEY}) AS total_amount", "concat('order ', o_orderkey) AS subject",
             "o_orderpriority AS payment_type", f"date_format({paid}, {_STAMP}) AS create_time",

@@ -19,6 +19,7 @@ from tidemart.plans.warehouse import Params, routed_changes
 from tidemart.schemas import (
     CART_INFO, COMMENT_INFO, DISPLAY_LINE, FAVOR_INFO, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE,
     PAGE_LOG, PAYMENT_INFO, PAYMENT_WIDE, PRODUCT_COUNTS, REFUND_INFO)
+from tidemart.session import exists
 from tidemart.sinks.dims import write_batch
 from tidemart.sinks.topics import routed_lines
 from tidemart.streaming.processors import FirstEver, FirstOfDay, LeftWithoutNext
@@ -45,7 +46,7 @@ def repair_is_new(lines: DataFrame, size_s: int = 5, delay: str = "5 seconds") -
     The first record of a device is found among its window firsts (one small row per device and
     window); the log then waits one window for it in an outer join by record id.
     """
-    log = _parsed(lines, delay).drop("value")
+    log = logs.with_known_id(_parsed(lines, delay).drop("value"))
     firsts = (log.groupBy(F.window("et", f"{size_s} seconds"), F.col("common.mid").alias("mid"))
               .agg(F.min(F.struct("ts", "rec_id")).alias("f"))
               .select("mid", "f.ts", "f.rec_id", F.window_time("window").alias("closed")))
@@ -61,10 +62,13 @@ def repair_is_new(lines: DataFrame, size_s: int = 5, delay: str = "5 seconds") -
 
 def daily_first_visit(lines: DataFrame, size: str = "5 seconds", delay: str = "3 seconds") -> DataFrame:
     """Page lines that are the first of their device on their day."""
-    page = _parsed(lines, delay)
+    page = logs.with_known_id(_parsed(lines, delay))
     first = F.min_by(F.struct("ts", "rec_id", "value"), F.struct("ts", "rec_id")).alias("f")
     windows = (page.groupBy(F.window("et", size), F.col("common.mid").alias("mid"))
                .agg(first).select("mid", "f.*"))
+    # The day is that of the session's time zone, as in the table form.
+    day = F.unix_date(sequences.calendar_day(F.col("ts"))).cast("bigint")
+    windows = windows.withColumn("day", day)
     return windows.groupBy("mid").transformWithState(FirstOfDay(), VALUE, "append", "None")
 
 
@@ -72,7 +76,7 @@ def bounces(lines: DataFrame, limit_ms: int = 5000, delay: str = "3 seconds", *,
             entry_after_entry: bool = True, slice_ms: int | None = None) -> DataFrame:
     """Page lines of entries whose visitor left; time slices as in the table operator."""
     slice_ms = max(slice_ms or sequences.SLICES_PER_LIMIT * limit_ms, limit_ms)
-    page = _parsed(lines, delay)
+    page = logs.with_known_id(_parsed(lines, delay))
     entry = F.coalesce(logs.entry_page(), F.lit(False))
     sliced = page.select(
         F.col("common.mid").alias("mid"), "et", "ts", "rec_id", entry.alias("entry"), "value",
@@ -146,15 +150,24 @@ def product_keywords(stats_lines: DataFrame, as_of_ms: int | None = None) -> Dat
 def route_batch(read_config: Callable[[], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch`` over change lines: facts to topic files, dimensions to their table.
 
-    The configuration is read anew for every batch, so a changed route applies from the next batch.
+    The configuration is read anew for every batch, so a changed route applies from the next batch. A
+    batch that comes again after it was written is skipped, so its lines do not come twice in a topic.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        facts, dims = cdc.split_routes(routed_changes(batch, read_config()))
-        (routed_lines(facts).write.mode("overwrite").partitionBy("topic")
-         .parquet(f"{path}/topics/batch_id={batch_id}"))
-        write_batch(dims, f"{path}/dims", batch_id)
-        batch.unpersist()
+        done = f"{path}/done/batch_id={batch_id}"
+        if exists(batch.sparkSession, f"{done}/_SUCCESS"):
+            return
+        routed = routed_changes(batch, read_config()).persist()
+        try:
+            facts, dims = cdc.split_routes(routed)
+            topics = f"{path}/topics/batch_id={batch_id}"
+            # A reader of the topic may have taken the files of a batch that ended before its mark was set.
+            if not exists(batch.sparkSession, f"{topics}/_SUCCESS"):
+                routed_lines(facts).write.mode("overwrite").partitionBy("topic").parquet(topics)
+            write_batch(dims, f"{path}/dims", batch_id)
+            batch.limit(0).select(F.lit(batch_id).alias("batch")).write.mode("overwrite").parquet(done)
+        finally:
+            routed.unpersist()
     return write
 
 
