@@ -187,3 +187,14 @@ def test_running_for_good(spark, tmp_path):
     assert sorted((r["keyword"], r["ct"], r["edt"]) for r in rows) == [
         ("red", 1, "1970-01-01 00:00:10"), ("ring", 2, "1970-01-01 00:00:10")]
     assert all(r["ts"] > 1_700_000_000_000 and r["ts"] % 1000 == 0 for r in rows)
+
+
+def test_a_repeated_route_batch_writes_nothing_new(spark, sample, tmp_path):
+    write = jobs.route_batch(sample.routes, str(tmp_path))
+    lines = sample.change_lines().select("value")
+    write(lines, 0)
+    files = sorted(map(str, (tmp_path / "topics").rglob("*.parquet")))
+    write(lines, 0)
+    assert files and files == sorted(map(str, (tmp_path / "topics").rglob("*.parquet")))
+    stream = read_files(spark, f"{tmp_path}/topics")
+    assert stream.isStreaming

@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions.texts import to_lines
@@ -23,7 +23,8 @@ from tidemart.sources.sample import Sample
 from tidemart.sources.tables import read_dim, read_upserts
 from tidemart.streaming import jobs
 from tidemart.sinks.stats import upsert_batch
-from tidemart.streaming.runner import Feed, replay, replay_batches
+from tidemart.streaming import runner
+from tidemart.streaming.runner import Feed
 
 FAR_MS = 4_102_444_800_000
 FAR = "2100-01-01 00:00:00"
@@ -40,6 +41,19 @@ CLOSING_PAGE = line(common={"mid": "~"}, page={"page_id": "~", "last_page_id": "
 CLOSING_SEARCH = line(page={"page_id": "good_list", "item": "end"}, ts=FAR_MS, rec_id=-1)
 
 
+def one_wave(spark: SparkSession) -> int:
+    """State partitions of the registered queries: the given tables need no more than one per core."""
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
+def replay(spark: SparkSession, *rest, **options) -> DataFrame:
+    return runner.replay(spark, *rest, partitions=one_wave(spark), **options)
+
+
+def replay_batches(spark: SparkSession, *rest, **options) -> str:
+    return runner.replay_batches(spark, *rest, partitions=one_wave(spark), **options)
+
+
 def log_feed(log: DataFrame, closing: str | None = CLOSING_PAGE) -> Feed:
     return Feed(to_lines(log, "ts"), closing)
 

@@ -8,9 +8,11 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+PARTITION_BYTES = 64 << 20
 
-# Runtime settings. Sizes are per task, so they hold for any number of executors: AQE starts from
-# many small shuffle partitions and merges them up to the advisory size.
+# Runtime settings. Sizes are per task, so they hold for any number of executors. AQE merges small shuffle
+# partitions up to the advisory size but does not split those of aggregates and windows, so a large job
+# must start from enough of them: give build_session the size of its input.
 BATCH_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -35,12 +37,18 @@ STREAM_SETTINGS = {
 
 
 def build_session(app: str = "tidemart", master: str | None = None,
-                  conf: dict[str, str] | None = None) -> SparkSession:
-    """A session with the settings above; on a cluster leave ``master`` to spark-submit."""
+                  conf: dict[str, str] | None = None, input_bytes: int | None = None) -> SparkSession:
+    """A session with the settings above; on a cluster leave ``master`` to spark-submit.
+
+    ``input_bytes`` is the size of the job's input: shuffles start from one partition per
+    ``PARTITION_BYTES`` of it. Streams keep ``spark.sql.shuffle.partitions``, which fixes their state.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**BATCH_SETTINGS, **STREAM_SETTINGS, **(conf or {})}.items():
+    sized = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum":
+             str(max(200, input_bytes // PARTITION_BYTES))} if input_bytes else {}
+    for key, value in {**BATCH_SETTINGS, **STREAM_SETTINGS, **sized, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

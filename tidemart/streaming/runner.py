@@ -74,9 +74,11 @@ def round_bounds(staged: DataFrame, rounds: int) -> list[int]:
 
 
 def replay(spark: SparkSession, name: str, feeds: Mapping[str, Feed], job: Job, *,
-           rounds: int = 2, shuffle_ms: int = 0) -> DataFrame:
+           rounds: int = 2, shuffle_ms: int = 0, partitions: int | None = None) -> DataFrame:
     """Feed a job round by round, each round a new run from the same checkpoint; return its output.
 
+    ``partitions`` is the number of state partitions, fixed by the first run: by default the session's.
+
     ``shuffle_ms`` moves rows by up to that time towards the next round, so that they arrive late.
     """
     base = shared_dir(spark, name)
@@ -88,12 +90,13 @@ def replay(spark: SparkSession, name: str, feeds: Mapping[str, Feed], job: Job,
         schema = stream.schema
         catch_up(file_sink(stream, f"{base}/out", f"{base}/checkpoint"))
 
-    feed_rounds(spark, base, feeds, run, rounds, shuffle_ms)
+    feed_rounds(spark, base, feeds, run, rounds, shuffle_ms, partitions)
     return spark.read.schema(schema).parquet(f"{base}/out")
 
 
 def replay_batches(spark: SparkSession, name: str, feeds: Mapping[str, Feed], job: Job,
-                   write: Callable[[str], Batch], *, mode: str = "append", rounds: int = 2) -> str:
+                   write: Callable[[str], Batch], *, mode: str = "append", rounds: int = 2,
+                   partitions: int | None = None) -> str:
     """The same with a batch function, made by ``write`` for the output folder that is returned."""
     base = shared_dir(spark, name)
     out = f"{base}/out"
@@ -101,12 +104,13 @@ def replay_batches(spark: SparkSession, name: str, feeds: Mapping[str, Feed], jo
     def run(topics: dict[str, DataFrame]) -> None:
         catch_up(batch_sink(job(topics), write(out), f"{base}/checkpoint", mode))
 
-    feed_rounds(spark, base, feeds, run, rounds)
+    feed_rounds(spark, base, feeds, run, rounds, partitions=partitions)
     return out
 
 
 def feed_rounds(spark: SparkSession, base: str, feeds: Mapping[str, Feed],
-                run: Callable[[dict[str, DataFrame]], None], rounds: int, shuffle_ms: int = 0) -> None:
+                run: Callable[[dict[str, DataFrame]], None], rounds: int, shuffle_ms: int = 0,
+                partitions: int | None = None) -> None:
     landing = f"{base}/landing"
     staged = stage(spark, base, feeds)
     arrival = F.col("ts") + (F.pmod(F.xxhash64("value"), F.lit(shuffle_ms)) if shuffle_ms else F.lit(0))
@@ -116,7 +120,9 @@ def feed_rounds(spark: SparkSession, base: str, feeds: Mapping[str, Feed],
         number = number + (arrival >= edge).cast("int")
     numbered = staged.withColumn("_round", number)
     closing = [(topic, feed.closing) for topic, feed in feeds.items() if feed.closing]
-    values = {**STREAM_SETTINGS, "spark.sql.shuffle.partitions": str(state_partitions(spark))}
+    values = dict(STREAM_SETTINGS)
+    if partitions:
+        values["spark.sql.shuffle.partitions"] = str(partitions)
     with settings(spark, {k: v for k, v in values.items() if spark.conf.isModifiable(k)}):
         for i in range(len(edges) + 1):
             land(numbered.where(F.col("_round") == i), landing)
@@ -127,9 +133,3 @@ def feed_rounds(spark: SparkSession, base: str, feeds: Mapping[str, Feed],
 
 def land(lines: DataFrame, landing: str) -> None:
     lines.select("value", "topic").write.mode("append").partitionBy("topic").parquet(landing)
-
-
-def state_partitions(spark: SparkSession) -> int:
-    """State partitions of a replay: as many as the session asks for, but no more than one wave."""
-    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(asked, spark.sparkContext.defaultParallelism))
