@@ -15,7 +15,8 @@ from tidemart.functions import texts, times
 from tidemart.operators import cdc, dashboard, joins, keywords, logs, sequences, stats
 from tidemart.plans import warehouse
 from tidemart.schemas import CHANGE, PAGE_LOG
-from tidemart.session import stored
+from tidemart.session import shared_dir, stored
+from tidemart.sinks.stats import write_table
 from tidemart.sources import tables
 from tidemart.sources.sample import Sample
 
@@ -202,6 +203,16 @@ def display_explode(s: Sample) -> DataFrame:
         "ts", "page_id", "mid", "vc", "item", "item_type", "order")
 
 
+# ------------------------------------------------------------ dashboard, one day of a stored table
+
+def last_day(stats: DataFrame, name: str, ask: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+    """Write a statistics table by day, and ask one question about its last day: only that day is opened."""
+    spark, path = stats.sparkSession, shared_dir(stats.sparkSession, name)
+    write_table(stats, path, stats.columns)
+    day = tables.read_stats(spark, path).agg(F.max("dt")).first()[0]
+    return ask(tables.read_stats(spark, path, day, day), day)
+
+
 TABLE_QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     # scans and sinks
     "json_log_scan": json_log_scan,
@@ -252,6 +263,10 @@ TABLE_QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "visitor_by_hour": lambda s: dashboard.visitor_by_hour(visitor_table(s), None),
     "visitor_by_is_new": lambda s: dashboard.visitor_by_is_new(visitor_table(s), None),
     "visitor_24h": lambda s: dashboard.visitor_24h(visitor_table(s), None),
+    # dashboard, the last day of a stored table
+    "gmv_by_brand_day": lambda s: last_day(product_table(s), "product_stats", dashboard.gmv_by_brand),
+    "visitor_24h_day": lambda s: last_day(visitor_table(s), "visitor_stats", dashboard.visitor_24h),
+    "keyword_score_day": lambda s: last_day(keyword_table(s), "keyword_stats", dashboard.keyword_score),
     "keyword_score": lambda s: dashboard.keyword_score(keyword_table(s), None),
 }
 

@@ -398,6 +398,15 @@ def sql_text(needed: tuple[str, ...], final: str) -> str:
     return f"WITH {with_part}\n{final.strip()}" if ordered else final.strip()
 
 
+
+
+def _last_day(name: str) -> tuple[tuple[str, ...], str]:
+    """The answers about every day, less all days but the last."""
+    needed, final = FINAL[name]
+    return needed, f"SELECT * EXCLUDE (dt) FROM ({final.strip()}) q QUALIFY dt = max(dt) OVER ()"
+
+
+FINAL |= {f"{name}_day": _last_day(name) for name in ("gmv_by_brand", "visitor_24h", "keyword_score")}
 # The position of a line is the id that the other form has in the line itself.
 FINAL["repair_is_new_raw"] = FINAL["repair_is_new"]
 
