@@ -4,9 +4,10 @@ The features are densities of two lexicons (words, and beginnings of words), the
 close to a second-person word, and rates of capitals, punctuation, exclamation marks and obfuscated
 words (symbols or digits inside letters; they are also looked up with the usual letters put back).
 
-The labels are learned on a bounded sample (``SAMPLE_ROWS``) outside the held-out third, split by a hash of
-the id: the lexicons are words whose share of toxic texts is far above the usual, counted on the
-first part; the trees are fitted on the second and calibrated on the third.
+The labels are learned on a bounded sample (``SAMPLE_ROWS``) outside the held-out third. The lexicons are
+words whose share of toxic texts is far above the usual. Each half of the sample (by a hash of the id)
+gets its features from the lexicons of the other half, so no text is scored by its own words; the
+trees are fitted on 14 of 20 parts and calibrated on the others. Scoring uses the lexicons of both halves.
 
 Null, empty and wordless texts have all features 0 and are scored like any other. Without labels of
 both kinds every score is the share of toxic labels (0 without labels). Every row is returned with its
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.llm import boosting, common
+from tidemart.session import stored
 
 SAMPLE_ROWS = 20_000
 LEXICON_ROWS = 4_000
@@ -91,20 +93,35 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
             (len(masked) + 10 * sum(p[0] > 0 or p[1] > 0 for p in plain)) / n]
 
 
-def lexicon_counts(sample: DataFrame) -> dict[str, float]:
-    """Log odds of words ("w...") and beginnings ("p...") that mark toxic texts; at most ``LEXICON_ROWS``."""
+def lexicons(sample: DataFrame) -> list[dict[str, float]]:
+    """Log odds of words ("w...") and beginnings ("p...") that mark toxic texts.
+
+    The first lexicon is of part 0 of the sample, the second of part 1, the third of both; each has at
+    most ``LEXICON_ROWS`` entries.
+    """
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}]+"), F.lit(0)))
-    marked = sample.select("label", words.alias("w")).select("label", F.explode(F.array_union(
+    marked = sample.select("label", "half", words.alias("w")).select("label", "half", F.explode(F.array_union(
         F.transform("w", lambda w: F.concat(F.lit("w"), w)),
         F.transform(F.filter("w", lambda w: F.length(w) > PREFIX),
                     lambda w: F.concat(F.lit("p"), F.substring(w, 1, PREFIX))))).alias("entry"))
-    totals = sample.agg(F.count("*").alias("n"), F.sum("label").alias("t")).first()
-    toxic, fine = totals.t or 0, totals.n - (totals.t or 0)
-    counts = marked.groupBy("entry").agg(F.sum("label").alias("t"), F.count("*").alias("n"))
-    odds = F.log(((F.col("t") + 0.5) / (toxic + 1.0)) / ((F.col("n") - F.col("t") + 0.5) / (fine + 1.0)))
-    picked = counts.where(F.col("t") >= LEAST_TOXIC_TEXTS).withColumn("odds", odds).where(
-        F.col("odds") >= LEAST_LOG_ODDS).orderBy(F.desc("odds"), "entry").limit(LEXICON_ROWS)
-    return {r.entry: r.odds for r in picked.collect()}
+
+    def sums() -> list:
+        return [f(F.when(F.col("half") == h, F.col("label") if f is F.sum else F.lit(1))).alias(f"{n}{h}")
+                for h in (0, 1) for n, f in (("t", F.sum), ("n", F.count))]
+
+    totals = sample.agg(*sums()).na.fill(0).first()
+    counts = stored(marked.groupBy("entry").agg(*sums()).na.fill(0).where(
+        F.col("t0") + F.col("t1") >= LEAST_TOXIC_TEXTS), "lexicon")
+    found = []
+    for halves in ((0,), (1,), (0, 1)):
+        t, n = (sum((F.col(f"{k}{h}") for h in halves), F.lit(0)) for k in "tn")
+        toxic = sum(totals[f"t{h}"] for h in halves)
+        fine = sum(totals[f"n{h}"] for h in halves) - toxic
+        odds = F.log(((t + 0.5) / (toxic + 1.0)) / ((n - t + 0.5) / (fine + 1.0)))
+        picked = counts.where(t >= LEAST_TOXIC_TEXTS).select("entry", odds.alias("odds")).where(
+            F.col("odds") >= LEAST_LOG_ODDS).orderBy(F.desc("odds"), "entry").limit(LEXICON_ROWS)
+        found.append({r.entry: r.odds for r in picked.collect()})
+    return found
 
 
 class Model:
@@ -117,11 +134,13 @@ class Model:
         return np.interp(self.trees.raw(rows), self.knots, self.rates)
 
 
-def _feature_rows(lexicon: dict[str, float]):
+def _feature_rows(first: dict[str, float], second: dict[str, float]):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Lexicon(lexicon)
+        known = [Lexicon(first), Lexicon(second)]
         for batch in batches:
-            found = [features(x.as_py() or "", known) for x in batch.column(0)]
+            # A text's features come from the lexicon of the half that it is not in.
+            found = [features(x.as_py() or "", known[1 - h.as_py()])
+                     for x, h in zip(batch.column(0), batch.column(3), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(2), pa.array(found, pa.list_(pa.float64()))],
                 ["label", "part", "x"])
@@ -130,19 +149,20 @@ def _feature_rows(lexicon: dict[str, float]):
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """A model from at most ``rows`` labelled texts; only their features come to the driver."""
-    part = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("part")), F.lit(10))
-    sample = common.labelled_sample(docs, labels, "toxic", rows).withColumn("part", part.cast("int"))
-    lexicon = lexicon_counts(sample.where("part < 4"))
-    found = sample.where("part >= 4").select("text", "label", "part").mapInArrow(
-        _feature_rows(lexicon), "label int, part int, x array<double>").toPandas()
+    place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("part")), F.lit(20)).cast("int")
+    sample = common.labelled_sample(docs, labels, "toxic", rows).withColumn("part", place).withColumn(
+        "half", F.col("part") % 2)
+    first, second, both = lexicons(sample)
+    found = sample.select("text", "label", "part", "half").mapInArrow(
+        _feature_rows(first, second), "label int, part int, x array<double>").toPandas()
     y = found["label"].to_numpy(float)
     x = np.array(found["x"].tolist(), float).reshape(-1, N_FEATURES)
-    fitted, held = found["part"].to_numpy() < 8, found["part"].to_numpy() >= 8
+    held = found["part"].to_numpy() >= 14
     share = float(y.mean()) if len(y) else 0.0
-    if not (0 < y[fitted].sum() < fitted.sum() and 0 < y[held].sum() < held.sum()):
-        return Model(lexicon, None, None, None, share)
-    trees = boosting.fit(x[fitted], y[fitted])
-    return Model(lexicon, trees, *boosting.isotonic(trees.raw(x[held]), y[held]), share)
+    if not (0 < y[~held].sum() < (~held).sum() and 0 < y[held].sum() < held.sum()):
+        return Model(both, None, None, None, share)
+    trees = boosting.fit(x[~held], y[~held])
+    return Model(both, trees, *boosting.isotonic(trees.raw(x[held]), y[held]), share)
 
 
 def _score(column: int, model: Model):
