@@ -47,13 +47,6 @@ def broadcast_if_small(ids: DataFrame, most: int = 2_000_000) -> DataFrame:
     return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids
 
 
-def remove(spark: SparkSession, rows: DataFrame) -> None:
-    """Delete a table that ``stored`` wrote, once nothing reads it any more."""
-    for folder in {f.rsplit("/", 1)[0] for f in rows.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def with_fields(schema: T.StructType, *fields: T.StructField) -> T.StructType:
     """The schema with ``fields`` at its end; fields of the same name are replaced."""
     names = {f.name for f in fields}
