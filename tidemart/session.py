@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import uuid
 from contextlib import contextmanager
 
@@ -80,7 +82,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder for ``name`` below the shared folder that the cluster names.
 
     Without ``spark.checkpoint.dir`` a local session gets a folder of its own on this machine, as all its
-    executors are on it; any other session fails, as its executors would not see each other's files.
+    executors are on it, until it ends; any other session fails, as its executors would not see each other's files.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
@@ -89,6 +91,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
         base = f"/tmp/tidemart-{uuid.uuid4().hex}"
         spark.conf.set(CHECKPOINT_DIR, base)
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/tidemart/{name}-{uuid.uuid4().hex}"
 
 
