@@ -3,7 +3,7 @@
 1. A text becomes its set of 5-word shingles (64-bit hashes). Equal sets are one class.
 2. ``BANDS * ROWS`` minima of universal hashes (multiply, add, take high bits) sign one text per class;
    a pair at the threshold 0.75 shares one of 40 bands of 4 with probability 1 - 2.6e-7.
-3. Each bucket pairs its texts with two leaders (its least id and one picked by hash), so a bucket of n
+3. Each bucket pairs its texts with two leaders (its least id and its least hash of an id), so a bucket of n
    texts makes at most 2n pairs. Signatures that agree in less than ``LEAST_AGREEMENT`` drop a pair (a
    pair at the threshold falls below with probability 4e-6); the rest is confirmed on the full sets.
 4. Components are built. Buckets whose texts then lie in several components have pairs left. Those of at
@@ -153,15 +153,18 @@ def _ordered(u: str, v: str) -> list:
 
 
 def met_leaders(bands: DataFrame) -> DataFrame:
-    """(key, doc_id, n, first, picked) of buckets of two or more: their size and their leaders."""
+    """(key, doc_id, n, first, picked) of buckets of two or more: their size and their leaders.
+
+    Both leaders are least in an order of all texts, so the buckets of one group mostly have the same two.
+    """
     leaders = bands.groupBy("key").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("first"),
-        F.min_by("doc_id", F.xxhash64("doc_id", "key")).alias("picked")).where("n > 1")
+        F.min_by("doc_id", F.xxhash64("doc_id")).alias("picked")).where("n > 1")
     return bands.join(leaders, "key")
 
 
 def leader_pairs(met: DataFrame) -> DataFrame:
-    """Each text of a bucket with the bucket's least id and with one picked by a hash."""
+    """Each text of a bucket with the bucket's least id and with its least hash of an id."""
     return met.select(F.explode(F.array(
         F.struct(*_ordered("doc_id", "first")), F.struct(*_ordered("doc_id", "picked")))).alias("p")
     ).select("p.u", "p.v").where("u < v").distinct()
