@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import common
 
-SYMBOLS = "#*$%&|<>"
+SYMBOL = "[#*$%&|<>]"
 UNIT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}]+"
 BUCKETS = 1 << 16
 PRIOR = 5.0
@@ -27,17 +27,13 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.length(F.translate(text, characters, ""))
-
-
 def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed.
 
     The repeated windows of a text are found by sorting its own windows, only where some repeat.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(whole, "\n"), lambda x: _without(x, common.SPACES) > 0)
+    lines = F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(common.SPACES)) != "")
     rows = docs.withColumns({"_w": common.words(whole), "_l": lines})
     window = F.when(F.size("_w") >= 3, F.transform(
         F.sequence(F.lit(0), F.size("_w") - 3),
@@ -59,8 +55,8 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.col("_s")[j]["i"], F.col("_s")[j]["i"] + 2)))
     rows = common.computed(rows, {
         "n_words": F.size("_w").cast("long"),
-        "word_chars": _without(whole, common.SPACES).cast("long"),
-        "n_symbols": (F.length(whole) - _without(whole, SYMBOLS)).cast("long"),
+        "word_chars": F.length(F.array_join("_w", "")).cast("long"),
+        "n_symbols": F.regexp_count(whole, F.lit(SYMBOL)).cast("long"),
         "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
         "n_repeat_words": F.when(F.col("_s").isNull(), F.lit(0)).otherwise(
             F.size(F.array_distinct(covered))).cast("long")})
