@@ -1,7 +1,8 @@
 """Quality rules: plain text rules, then a hashed n-gram likelihood ratio of trusted and raw text.
 
 Units are runs of letters and digits or runs of other visible characters; unigrams and bigrams of
-units are hashed to ``buckets``. Over all documents, one multinomial counts the raw corpus and one the
+units are hashed to ``buckets``, whose number follows the distinct n-grams of the corpus: about
+``PER_BUCKET`` share one at every size, so the threshold keeps its meaning. Over all documents, one multinomial counts the raw corpus and one the
 trusted documents. A document's score is the mean log ratio of its n-grams,
 ``log((target + prior) / (expected + prior))`` with ``expected`` the raw share times the target total:
 the prior shrinks rarely seen buckets to 0. A fixed threshold decides for every document.
@@ -13,14 +14,21 @@ further columns pass through; a null id is kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm import common
+from tidemart.session import stored
 
 SYMBOL = "[#*$%&|<>]"
 UNIT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}]+"
-BUCKETS = 1 << 16
+# Distinct n-grams that share a bucket, and their count's relative error.
+PER_BUCKET = 37.5
+COUNT_ERROR = 0.02
+# Up to so many buckets the ratios are one array in the plan; beyond that they are a table to join.
+MOST_LISTED = 1 << 21
 PRIOR = 5.0
 THRESHOLD = -0.5
 MIN_WORDS = 50
@@ -71,9 +79,13 @@ def ngrams(units: str, buckets: int) -> Column:
     def bucket(*parts: Column) -> Column:
         return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
 
+    return _each(units, bucket)
+
+
+def _each(units: str, hashed: Callable[..., Column]) -> Column:
     return F.transform(F.col(units), lambda u, i: F.struct(
-        bucket(u).alias("one"),
-        F.when(i > 0, bucket(F.col(units)[F.greatest(i - 1, F.lit(0))], u)).alias("two")))
+        hashed(u).alias("one"),
+        F.when(i > 0, hashed(F.col(units)[F.greatest(i - 1, F.lit(0))], u)).alias("two")))
 
 
 def _with_units(docs: DataFrame, text: str) -> DataFrame:
@@ -81,8 +93,15 @@ def _with_units(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumn("_u", F.regexp_extract_all(whole, F.lit(UNIT), F.lit(0)))
 
 
-def bucket_counts(docs: DataFrame, trusted: Column, text: str = "text",
-                  buckets: int = BUCKETS) -> DataFrame:
+def bucket_number(docs: DataFrame, text: str = "text") -> int:
+    """How many buckets give ``PER_BUCKET`` distinct n-grams each."""
+    grams = _with_units(docs.select(text), text).select(F.inline(_each("_u", F.xxhash64)))
+    count = grams.select(F.explode(F.array("one", "two")).alias("h")).agg(
+        F.approx_count_distinct("h", COUNT_ERROR)).first()[0]
+    return max(1, round(count / PER_BUCKET))
+
+
+def bucket_counts(docs: DataFrame, trusted: Column, text: str, buckets: int) -> DataFrame:
     """(bucket, raw, target): counts over all documents, and over those where ``trusted`` holds."""
     flagged = _with_units(docs.select(F.col(text), trusted.alias("_t")), text)
     grams = flagged.select("_t", F.inline(ngrams("_u", buckets)))
@@ -91,7 +110,7 @@ def bucket_counts(docs: DataFrame, trusted: Column, text: str = "text",
             .agg(F.count("*").alias("raw"), F.sum(F.col("_t").cast("int")).alias("target")))
 
 
-def weights(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
+def weights(counts: DataFrame, buckets: int, prior: float = PRIOR) -> DataFrame:
     """One row with an array of ``buckets`` log ratios, null if there is no trusted text."""
     spark = counts.sparkSession
     every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(
@@ -104,7 +123,7 @@ def weights(counts: DataFrame, buckets: int = BUCKETS, prior: float = PRIOR) ->
     return listed.select(F.when(F.col("targets") > 0, ratio).alias("ratio"))
 
 
-def score(docs: DataFrame, ratio: Column, text: str = "text", buckets: int = BUCKETS) -> DataFrame:
+def score(docs: DataFrame, ratio: Column, text: str, buckets: int) -> DataFrame:
     """``docs`` with ``score``: the mean log ratio of the n-grams; null without n-grams or ratios."""
     rows = _with_units(docs, text).withColumn("_r", ratio)
     rows = rows.withColumn("_n", ngrams("_u", buckets))
@@ -115,14 +134,34 @@ def score(docs: DataFrame, ratio: Column, text: str = "text", buckets: int = BUC
     return common.computed(rows, {"score": F.when(n > 0, total / n)}).drop("_u", "_r", "_n")
 
 
+def joined_score(docs: DataFrame, counts: DataFrame, text: str, buckets: int, prior: float = PRIOR) -> DataFrame:
+    """As ``score``, with the ratios joined by bucket; each text's buckets are counted before."""
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "scored")
+    counts = stored(counts, "buckets")
+    sums = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets")).where("targets > 0")
+    ratios = counts.join(F.broadcast(sums)).select("bucket", F.log(
+        (F.col("target") + prior) / (F.col("raw") / F.col("raws") * F.col("targets") + prior)).alias("ratio"))
+    grams = _with_units(rows.select("_row", text), text).select("_row", F.inline(ngrams("_u", buckets)))
+    each = grams.select("_row", F.explode(F.array("one", "two")).alias("bucket")).where("bucket IS NOT NULL")
+    scores = each.groupBy("_row", "bucket").agg(F.count("*").alias("n")).join(ratios, "bucket").groupBy("_row").agg(
+        (F.sum(F.col("n") * F.col("ratio")) / F.sum("n")).alias("score"))
+    return rows.drop("score").join(scores, "_row", "left").drop("_row")
+
+
 def quality_rules(docs: DataFrame, trusted: DataFrame, text: str = "text",
-                  buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with the base counts, ``score`` and ``kept``; ``trusted`` has the ids of target texts."""
+                  buckets: int | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with the base counts, ``score`` and ``kept``; ``trusted`` has the ids of target texts.
+
+    Without ``buckets``, their number follows the distinct n-grams.
+    """
+    buckets = buckets or bucket_number(docs, text)
     ids = common.broadcast_if_small(
         trusted.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct())
     joined = docs.select("doc_id", text).join(ids, F.col("doc_id") == F.col("_id"), "left")
     counts = bucket_counts(joined, F.col("_id").isNotNull(), text, buckets)
-    rows = score(base_counts(docs, text), weights(counts, buckets).scalar(), text, buckets)
+    based = base_counts(docs, text)
+    rows = (score(based, weights(counts, buckets).scalar(), text, buckets) if buckets <= MOST_LISTED
+            else joined_score(based, counts, text, buckets))
     fine = F.coalesce(F.col("score") >= threshold, F.lit(True))
     return rows.withColumn("kept", ~F.col("base_failed") & fine)
 
