@@ -1,7 +1,8 @@
 """Personal data: fixed patterns, and contexts learned from what they find.
 
-Base spans are e-mail addresses, IP addresses, card and phone numbers. They seed a bootstrap: every token
-with a digit or an at sign is an instance, the two words before it are its pattern. A pattern's
+Base spans are e-mail addresses, IP addresses, card and phone numbers. They seed a bootstrap: a base span,
+or else a token with a digit or an at sign, is an instance; the two words before it are its pattern. There
+every word with a digit or an at sign counts as ``#``, and the start of a text as a word. A pattern's
 confidence is the sum of its instances' confidences over all its occurrences in the corpus, followed by
 whatever token; an instance's confidence is 1 for seeds, else the noisy-or of its accepted patterns. After
 ``ROUNDS`` rounds, instances behind patterns of at least ``LEAST_CONFIDENCE`` with
@@ -47,13 +48,18 @@ def _placed(text: str, kind: str, values: str) -> Column:
     """Structs (kind, i, gap, len, value, left) of the matches in order; gap is the length before one."""
     zipped = F.arrays_zip(
         F.col(values).alias("value"), F.split(F.col(text), PATTERNS[kind], -1).alias("gap"))
-    left = (lambda z: F.lower(F.substring(z["gap"], -LEFT_CHARS, LEFT_CHARS))) if kind == "context" else (
-        lambda z: F.lit(""))
+
+    def left(z: Column, i: Column) -> Column:
+        # From the fourth match before this one on, so that words which are matches themselves count too.
+        before = F.flatten(F.transform(F.slice(zipped, F.greatest(i - 3, F.lit(1)), F.least(i, F.lit(4))),
+                                       lambda m: F.array(m["gap"], m["value"])))
+        return F.lower(F.substring(F.concat(F.array_join(before, ""), z["gap"]), -LEFT_CHARS, LEFT_CHARS))
+
     return F.when(F.size(values) > 0, F.transform(
         F.filter(zipped, lambda z: z["value"].isNotNull()),
         lambda z, i: F.struct(
             F.lit(KINDS.index(kind)).alias("kind"), i.alias("i"), F.length(z["gap"]).alias("gap"),
-            F.length(z["value"]).alias("len"), z["value"].alias("value"), left(z).alias("left"))))
+            F.length(z["value"]).alias("len"), z["value"].alias("value"), left(z, i).alias("left"))))
 
 
 def matches(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -95,24 +101,36 @@ def spans(found: DataFrame) -> DataFrame:
     return placed.where(fine).drop("_n")
 
 
+def _marked(word: Column) -> Column:
+    return F.when(word.rlike("[0-9@]"), F.lit("#")).otherwise(word)
+
+
 def instances(placed: DataFrame) -> DataFrame:
-    """(row, start, end, token, pattern, seed): tokens with their two words before; seeds lie in base spans."""
+    """(row, start, end, token, pattern, seed): base spans, and tokens beside them, with their two words before."""
     context = KINDS.index("context")
+    # A span may begin within a word; its pattern are the words before that word, which counts once.
+    inner = F.length(F.regexp_extract("left", r"(\S*)$", 1))
+    seeds = placed.where(F.col("kind") < context).withColumn("at", F.col("start") - inner)
+    seeds = seeds.groupBy("row", "at").agg(F.min(F.struct(
+        "start", (-F.col("end")).alias("back"), "value", "left")).alias("s")).select(
+        "row", "s.start", (-F.col("s.back")).alias("end"), F.col("s.value").alias("token"), "s.left",
+        F.lit(True).alias("seed"))
     tokens = placed.where(F.col("kind") == context)
     base = placed.where(F.col("kind") < context).groupBy("row").agg(
         F.collect_list(F.struct("start", "end")).alias("base"))
     tokens = tokens.join(base, "row", "left")
     # Punctuation at the ends of a token is no part of it.
-    bare = F.regexp_extract("value", r"""^[("'\[{<]*(.*?)[)"'\]}>.,;:!?]*$""", 1)
+    bare = F.regexp_extract("value", r"""^["('\[{<]*(.*?)[)"'\]}>.,;:!?]*$""", 1)
     lead = F.length(F.regexp_extract("value", r"""^([("'\[{<]*)""", 1))
     tokens = tokens.withColumns({"token": bare, "start": F.col("start") + lead})
-    tokens = tokens.withColumn("end", F.col("start") + F.length("token"))
-    words = F.split(F.trim(F.regexp_replace("left", r"\s+", " ")), " ")
-    return tokens.where(F.length("token") >= 4).select(
+    tokens = tokens.withColumn("end", F.col("start") + F.length("token")).where(~F.coalesce(F.exists(
+        "base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"])), F.lit(False)))
+    every = seeds.unionByName(tokens.select("row", "start", "end", "token", "left", F.lit(False).alias("seed")))
+    words = F.filter(F.split(F.regexp_replace("left", r"\S+$", ""), r"\s+"), lambda w: w != "")
+    every = every.withColumn("_w", F.transform(F.concat(F.array(F.lit("^")), words), _marked))
+    return every.where(F.length("token") >= 4).select(
         "row", "start", "end", "token",
-        F.when(F.size(words) >= 2, F.concat_ws(" ", F.slice(words, -2, 2))).alias("pattern"),
-        F.coalesce(F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"])),
-                   F.lit(False)).alias("seed"))
+        F.when(F.size("_w") >= 2, F.concat_ws(" ", F.slice("_w", -2, 2))).alias("pattern"), "seed")
 
 
 def _bits(patterns: DataFrame) -> DataFrame:
@@ -134,6 +152,7 @@ def occurrences(docs: DataFrame, patterns: DataFrame, text: str = "text") -> Dat
     parts = F.split("pattern", " ")
     hashed = patterns.withColumn("h", F.xxhash64(parts[0], parts[1]))
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"\s+"), lambda w: w != "")
+    words = F.transform(F.concat(F.array(F.lit("^")), words), _marked)
     rows = docs.select(words.alias("_w")).where("size(_w) > 2").withColumn("_b", _bits(hashed).scalar())
     pairs = F.transform(F.sequence(F.lit(0), F.size("_w") - 3),
                         lambda i: F.xxhash64(F.col("_w")[i], F.col("_w")[i + 1]))
