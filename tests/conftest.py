@@ -6,8 +6,6 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -26,11 +24,12 @@ def spark(tmp_path_factory):
 def con():
     import compare
 
-    return compare.duck(SMALL)
+    return compare.duck(compare.SMALL)
 
 
 @pytest.fixture(scope="session")
 def sample(spark):
+    from compare import SMALL
     from tidemart.sources.sample import Sample
 
     return Sample(spark, SMALL)

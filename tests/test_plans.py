@@ -1,7 +1,7 @@
 """Physical plans: what reaches the scans, how groups are shuffled, what is never used."""
 
 import pytest
-from conftest import SMALL
+from compare import SMALL
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
@@ -39,7 +39,7 @@ def test_only_needed_columns_are_read(spark, sample):
 
 
 def test_filter_reaches_the_scan(spark, sample):
-    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)" in plan_of(sample.payments())
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,view)" in plan_of(sample.favors())
 
 
 def test_distinct_orders_without_sets_and_expand(spark, sample):

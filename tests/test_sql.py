@@ -2,7 +2,7 @@
 
 import compare
 import pytest
-from conftest import SMALL
+from compare import SMALL
 
 import __spark_entry__ as entry_points
 from tidemart.plans import catalog, stream_catalog
