@@ -9,6 +9,8 @@ from tidemart.llm.pii import op10_pii
 from tidemart.llm.quality_classifier import op6_quality_classifier
 from tidemart.llm.quality_rules import op5_quality_rules
 from tidemart.llm.secrets import op4_secret_scan
+from tidemart.llm.source_mix import SQL as MIX_SQL
+from tidemart.llm.source_mix import op13_source_mix
 from tidemart.llm.substring_dedup import op2_substring_dedup
 from tidemart.llm.toxicity import op1_toxicity
 from tidemart.llm.warc import SQL as WARC_SQL
@@ -25,5 +27,6 @@ QUERIES = {f.__name__: f for f in (
     op8_byte_bpe,
     op9_warc,
     op10_pii,
+    op13_source_mix,
 )}
-SQL: dict[str, str] = {"op9_warc": WARC_SQL}
+SQL: dict[str, str] = {"op9_warc": WARC_SQL, "op13_source_mix": MIX_SQL}
