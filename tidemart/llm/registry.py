@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tidemart.llm.byte_bpe import op8_byte_bpe
+from tidemart.llm.conversation_repair import SQL as REPAIR_SQL
+from tidemart.llm.conversation_repair import op12_conversation_repair
 from tidemart.llm.decontaminate import op7_decontamination
 from tidemart.llm.near_dedup import op3_minhash_near_dedup
 from tidemart.llm.pii import op10_pii
@@ -27,6 +29,8 @@ QUERIES = {f.__name__: f for f in (
     op8_byte_bpe,
     op9_warc,
     op10_pii,
+    op12_conversation_repair,
     op13_source_mix,
 )}
-SQL: dict[str, str] = {"op9_warc": WARC_SQL, "op13_source_mix": MIX_SQL}
+SQL: dict[str, str] = {
+    "op9_warc": WARC_SQL, "op12_conversation_repair": REPAIR_SQL, "op13_source_mix": MIX_SQL}
