@@ -7,6 +7,7 @@ from tidemart.llm.conversation_repair import SQL as REPAIR_SQL
 from tidemart.llm.conversation_repair import op12_conversation_repair
 from tidemart.llm.decontaminate import op7_decontamination
 from tidemart.llm.near_dedup import op3_minhash_near_dedup
+from tidemart.llm.periodic_runs import op11_periodic_runs
 from tidemart.llm.pii import op10_pii
 from tidemart.llm.quality_classifier import op6_quality_classifier
 from tidemart.llm.quality_rules import op5_quality_rules
@@ -29,6 +30,7 @@ QUERIES = {f.__name__: f for f in (
     op8_byte_bpe,
     op9_warc,
     op10_pii,
+    op11_periodic_runs,
     op12_conversation_repair,
     op13_source_mix,
 )}
