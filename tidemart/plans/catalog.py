@@ -129,6 +129,13 @@ def cdc_prune_columns(s: Sample) -> DataFrame:
         *[F.col("data")[c].alias(c) for c in ("id", "user_id", "order_status", "name", "note", "segment")])
 
 
+def routed_rows(routed: DataFrame) -> DataFrame:
+    """Routed changes without their bodies, which are counted."""
+    return cdc.prune_columns(routed).select(
+        "table", "operate_type", "ts", "xid", "sink_type", "sink_table", F.size("data").alias("n_columns"),
+        F.col("data")["id"].alias("id"))
+
+
 def dim_upsert(s: Sample) -> DataFrame:
     """Users as they are, changed by every routed user record."""
     existing = s.table("customer").select(
@@ -223,6 +230,7 @@ TABLE_QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "to_json_rows": to_json_rows,
     "cdc_clean": cdc_clean,
     "cdc_prune_columns": cdc_prune_columns,
+    "cdc_routes_as_of": lambda s: routed_rows(warehouse.routed_as_of(s.change_lines(), s.route_history())),
     "cdc_route_counts": lambda s: cdc.route_counts(routed(s)),
     "log_split_counts": log_split_counts,
     "display_explode": display_explode,

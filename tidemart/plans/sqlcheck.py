@@ -241,6 +241,20 @@ SELECT *, CASE WHEN "table" = 'user_info' THEN 'dim_user_info' WHEN type = 'upda
   CASE WHEN "table" = 'user_info' THEN 'hbase' ELSE 'kafka' END AS sink_type
 FROM clean"""
 
+_EDIT = """
+SELECT '{name}' AS "table", CASE WHEN {key} % 2 = 0 THEN 'insert' ELSE 'update' END AS operate_type,
+  CASE WHEN {key} % 3 = 0 THEN 'hbase' ELSE 'kafka' END AS sink_type, '{topic}_' || ({key} % 13) AS sink_table,
+  CASE WHEN {key} % 10 <> 0 THEN {key} + 1600000000 - {key} % 5 ELSE -9223372036854775808 END AS at_, {key} AS seq
+FROM {given} WHERE {key} % 10 <> 9"""
+TABLES["edit"] = "\nUNION ALL ".join([
+    _EDIT.format(name="order_info", key="o_orderkey", topic="orders", given="orders"),
+    _EDIT.format(name="user_info", key="c_custkey", topic="users", given="customer")])
+
+# Of edits at one time the last one counts.
+TABLES["in_force"] = """
+SELECT "table", operate_type, at_, arg_max(sink_type, seq) AS sink_type, arg_max(sink_table, seq) AS sink_table
+FROM edit GROUP BY ALL"""
+
 # Which common tables each one reads.
 NEEDS: dict[str, tuple[str, ...]] = {
     "page": ("log",), "display": ("log",), "numbered": ("page",), "first_visit": ("numbered",),
@@ -249,6 +263,7 @@ NEEDS: dict[str, tuple[str, ...]] = {
     "pwide": ("pay", "owide"), "fact": ("page", "display", "shop", "base", "pay"),
     "pstat": ("fact",), "product": ("pstat",), "province": ("owide",), "searched": ("word",),
     "pword": ("product",), "pkey": ("pword",), "clean": ("change",), "routed": ("clean",),
+    "in_force": ("edit",),
 }
 
 PAGE_COLUMNS = "rec_id, ts, mid, is_new, page_id, last_page_id, item, during_time"
@@ -312,6 +327,11 @@ SELECT "table", k AS xid, sink_table, id,
   CAST(CASE sink_table WHEN 'dwd_order_info' THEN 3 ELSE 2 END AS INTEGER) AS n_columns,
   CASE WHEN sink_table = 'dwd_order_info' THEN user_id END AS user_id,
   order_status, name, CAST(NULL AS VARCHAR) AS note, CAST(NULL AS VARCHAR) AS segment FROM routed"""),
+    "cdc_routes_as_of": (("clean", "in_force"), """
+SELECT c."table", replace(c.type, 'bootstrap-', '') AS operate_type, c.k + 1600000000 AS ts, c.k AS xid, f.sink_type,
+  f.sink_table, CAST(2 AS INTEGER) AS n_columns, c.id
+FROM (SELECT *, replace(type, 'bootstrap-', '') AS operate_type, k + 1600000000 AS ts FROM clean) c
+ASOF JOIN in_force f ON c."table" = f."table" AND c.operate_type = f.operate_type AND c.ts >= f.at_"""),
     "cdc_route_counts": (("routed",), "SELECT sink_type, sink_table, count(*) AS n FROM routed GROUP BY 1, 2"),
     "log_split_counts": (("log", "display"), """
 SELECT CASE kind WHEN 'error' THEN 'start' ELSE 'page' END AS stream, count(*) AS n FROM log GROUP BY 1

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.texts import to_lines
 from tidemart.functions.times import to_millis
-from tidemart.operators import logs, sequences
+from tidemart.operators import cdc, logs, sequences
 from tidemart.plans.catalog import (
-    AS_OF, AS_OF_MS, DAY, HOUR, PARAMS, flat_log, order_wide_base, order_wide_table, pages, product_table)
+    AS_OF, AS_OF_MS, DAY, HOUR, PARAMS, flat_log, order_wide_base, order_wide_table, pages, product_table, routed_rows)
 from tidemart.plans import warehouse
 from tidemart.schemas import PAGE_LOG
 from tidemart.sources.sample import Sample
@@ -162,6 +162,17 @@ def stream_cdc_routes(s: Sample) -> DataFrame:
     return topics.groupBy("topic").agg(F.count("*").alias("n"))
 
 
+def stream_routes_as_of(s: Sample) -> DataFrame:
+    """Routing by the edits as they come, after a start from the snapshot of routes."""
+    history = s.route_history()
+    lines = s.change_lines().withColumn("ts", F.get_json_object("value", "$.ts").cast("bigint"))
+    edits = history.where(F.col("op") != "snapshot")
+    feeds = {"ods_db": Feed(lines), "ods_config": Feed(to_lines(edits.withColumn("ts", F.col("at")), "ts"))}
+    snapshot = cdc.config_versions(history.where(F.col("op") == "snapshot"))
+    return replay(s.spark, "routes_as_of", feeds, lambda t: jobs.routes_as_of(
+        t["ods_db"], t["ods_config"], snapshot, salts=one_wave(s.spark)))
+
+
 def stream_dim_upsert(s: Sample) -> DataFrame:
     """The user dimension after routing in the stream."""
     return read_dim(s.spark, f"{routed_replay(s)}/dims", "dim_user_info", ["id", "name"])
@@ -193,6 +204,7 @@ STREAM_QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "stream_keyword_stats": stream_keyword_stats,
     "stream_product_keywords": stream_product_keywords,
     "stream_cdc_routes": stream_cdc_routes,
+    "stream_cdc_routes_as_of": lambda s: routed_rows(stream_routes_as_of(s)),
     "stream_dim_upsert": stream_dim_upsert,
     "late_rows": late_rows,
 }
@@ -204,6 +216,6 @@ TWINS = {
     "stream_visitor_stats": "visitor_stats", "stream_order_wide": "order_wide",
     "stream_payment_wide": "payment_wide", "stream_province_stats": "province_stats",
     "stream_product_stats": "product_stats", "stream_keyword_stats": "keyword_stats",
-    "stream_product_keywords": "product_keywords",
+    "stream_product_keywords": "product_keywords", "stream_cdc_routes_as_of": "cdc_routes_as_of",
 }
 

@@ -80,3 +80,8 @@ def keyword_table(search: DataFrame, product_stats: DataFrame, as_of_ms: int | N
 def routed_changes(lines: DataFrame, config_changes: DataFrame) -> DataFrame:
     changes = cdc.clean_changes(logs.parse_lines(lines, CHANGE))
     return cdc.route_changes(changes, cdc.config_latest(config_changes))
+
+
+def routed_as_of(lines: DataFrame, config_changes: DataFrame) -> DataFrame:
+    """Change lines with the route that was in force at each line's own time."""
+    return cdc.routes_as_of(cdc.clean_changes(logs.parse_lines(lines, CHANGE)), config_changes)

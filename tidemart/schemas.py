@@ -47,6 +47,9 @@ ROUTE = fields(
     "source_table string, operate_type string, sink_type string, sink_table string, "
     "sink_columns string, sink_pk string, sink_extend string")
 
+# A route edit: the time from which it holds and its place in the log of edits.
+CONFIG_LINE = T.StructType([*ROUTE.fields, *fields("op string, at bigint, seq bigint").fields])
+
 ORDER_INFO = fields(
     "id bigint, province_id bigint, order_status string, user_id bigint, "
     "total_amount decimal(20,2), activity_reduce_amount decimal(20,2), "

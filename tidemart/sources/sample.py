@@ -186,3 +186,21 @@ class Sample:
             """CASE WHEN o_orderkey % 10 = 9 THEN 'delete' WHEN o_orderkey % 10 = 0 THEN 'snapshot'
                 WHEN o_orderkey % 10 < 5 THEN 'insert' ELSE 'update' END AS op""",
             "o_orderkey AS seq")
+
+    def route_history(self) -> DataFrame:
+        """``orders`` and ``customer`` as route edits of the two tables of ``change_lines``, with their times.
+
+        An edit comes up to four seconds before the changes that its key's neighbours make.
+        """
+        def edits(table: str, key: str, name: str, columns: str, topic: str) -> DataFrame:
+            return self.table(table).selectExpr(
+                f"'{name}' AS source_table", f"CASE WHEN {key} % 2 = 0 THEN 'insert' ELSE 'update' END AS operate_type",
+                f"CASE WHEN {key} % 3 = 0 THEN 'hbase' ELSE 'kafka' END AS sink_type",
+                f"concat('{topic}_', {key} % 13) AS sink_table", f"'{columns}' AS sink_columns",
+                "CAST(NULL AS STRING) AS sink_pk", "CAST(NULL AS STRING) AS sink_extend",
+                f"""CASE WHEN {key} % 10 = 9 THEN 'delete' WHEN {key} % 10 = 0 THEN 'snapshot'
+                    WHEN {key} % 10 < 5 THEN 'insert' ELSE 'update' END AS op""",
+                f"{key} + 1600000000 - {key} % 5 AS at", f"{key} AS seq")
+
+        return edits("orders", "o_orderkey", "order_info", "id,order_status", "orders").unionByName(
+            edits("customer", "c_custkey", "user_info", "id,name", "users"))

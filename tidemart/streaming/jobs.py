@@ -12,17 +12,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemart.functions.texts import plain_type
 from tidemart.functions.times import floor_div
 from tidemart.operators import cdc, keywords, logs, sequences, stats, wide
+from tidemart.operators.asof import BEGINNING
 from tidemart.operators.wide import Dims
 from tidemart.plans.warehouse import Params, routed_changes
 from tidemart.schemas import (
-    CART_INFO, COMMENT_INFO, DISPLAY_LINE, FAVOR_INFO, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE,
-    PAGE_LOG, PAYMENT_INFO, PAYMENT_WIDE, PRODUCT_COUNTS, REFUND_INFO)
+    CART_INFO, CHANGE, COMMENT_INFO, CONFIG_LINE, DISPLAY_LINE, FAVOR_INFO, ORDER_DETAIL, ORDER_INFO, ORDER_WIDE,
+    PAGE_LOG, PAYMENT_INFO, PAYMENT_WIDE, PRODUCT_COUNTS, REFUND_INFO, ROUTE)
 from tidemart.session import exists
 from tidemart.sinks.dims import write_batch
 from tidemart.sinks.topics import routed_lines
-from tidemart.streaming.processors import FirstEver, FirstOfDay, LeftWithoutNext
+from tidemart.streaming.processors import FirstEver, FirstOfDay, LeftWithoutNext, RouteAsOf
 
 VALUE = T.StructType([T.StructField("value", T.StringType())])
 FIRST = T.StructType([
@@ -171,6 +173,39 @@ def route_batch(read_config: Callable[[], DataFrame], path: str) -> Callable[[Da
     return write
 
 
+ROUTED = T.StructType([T.StructField("value", T.StringType()), T.StructField("route", T.StringType())])
+VERSION = "CAST(coalesce(at, -9223372036854775808) AS BIGINT) AS at"
+
+
+def routes_as_of(change_lines: DataFrame, config_lines: DataFrame, snapshot: DataFrame, keep: int | None = None,
+                 salts: int = 16) -> DataFrame:
+    """Clean changes with the route of their own time; two streams, and the routes known at the first start.
+
+    ``snapshot`` has the columns of ``cdc.config_versions``, ``config_lines`` are such rows as text with ``op``.
+    The changes of a (table, operation) are dealt over ``salts`` keys, each of which knows all its routes.
+    A change is routed when it passes, by the routes that have come by then; ``keep`` is the time for which
+    ended routes stay known, in the unit of the changes' ``ts``.
+    """
+    route = F.to_json(F.struct(*ROUTE.fieldNames())).alias("route")
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
+    key = [*cdc.ROUTE_KEY, "salt"]
+    changes = cdc.clean_changes(logs.parse_lines(change_lines, CHANGE))
+    facts = changes.select(
+        F.col("table").alias("source_table"), plain_type(F.col("type")).alias("operate_type"),
+        F.pmod(F.xxhash64(*cdc.POSITION), F.lit(salts)).cast("int").alias("salt"),
+        F.coalesce("ts", F.lit(BEGINNING)).alias("at"), F.to_json(F.struct(*changes.columns)).alias("value"))
+    edits = cdc.config_versions(logs.parse_lines(config_lines, CONFIG_LINE))
+    versions = edits.select(*cdc.ROUTE_KEY, every_salt, F.expr(VERSION), "seq", route)
+    rows = facts.unionByName(versions, allowMissingColumns=True)
+    known = snapshot.select(*cdc.ROUTE_KEY, every_salt, F.expr(VERSION), "seq", route)
+    routed = rows.groupBy(*key).transformWithState(
+        RouteAsOf(keep), ROUTED, "append", "None", initialState=known.groupBy(*key))
+    found = F.from_json("route", ROUTE)
+    change = F.from_json("value", CHANGE)
+    return (routed.select(F.inline(F.array(F.struct(change.alias("c"), found.alias("r")))))
+            .select("c.*", "r.*").withColumn("data", F.from_json("data", cdc.DATA)))
+
+
 def late_batch(path: str, size_ms: int, delay_ms: int) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch`` over rows with ``ts``: keep rows whose window had already closed.
 
