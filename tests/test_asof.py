@@ -57,7 +57,7 @@ def test_a_hot_key_is_spread_over_ranges(spark):
 
 
 def test_few_versions_leave_the_facts_where_they_are(spark):
-    facts = spark.range(100).selectExpr("'a' AS k", "'i' AS o", "id AS at", "id AS pos")
+    facts = spark.range(100).selectExpr("chr(97 + id div 100) AS k", "chr(105 + id div 100) AS o", "id AS at", "id AS pos")
     versions = spark.createDataFrame([("a", "i", 5, 1, "v")], VERSIONS)
     joined = as_of_join(facts, versions, ["k", "o"], "at", "since", "seq", limit=1 << 40)
     plan = joined._jdf.queryExecution().executedPlan().toString()
