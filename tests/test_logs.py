@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from tidemart.operators import logs, sequences
+from tidemart.operators import logs, patterns, sequences
 from tidemart.schemas import PAGE_LOG
 from tidemart.session import settings
 from tidemart.sources.topics import broker_lines
@@ -93,21 +93,21 @@ def test_cuts_of_a_pile_are_even(spark):
         F.lit("hot").alias("_mid"), F.lit(0).cast("bigint").alias("_slice"),
         F.lit(5).cast("bigint").alias("_ts"), F.col("id").alias("_id"))
     place = F.struct("_ts", "_id")
-    hot = sequences.hot_groups(rows, place, 1000)
+    hot = patterns.hot_groups(rows, place, 1000)
     cuts = [c["_id"] for c in hot.first()["_cuts"]]
     sizes = [b - a for a, b in zip([0, *cuts], [*cuts, 40_000])]
     assert hot.count() == 1 and 30 <= len(cuts) <= 50 and max(sizes) < 4000
     # A frame made of rows, whose plan has no size, is cut in the same way.
     small = spark.createDataFrame(rows.limit(3000).rdd, rows.schema)
-    assert len(sequences.hot_groups(small, place, 100).first()["_cuts"]) > 20
-    assert sequences.hot_groups(rows, place, 1 << 40) is None
-    assert sequences.hot_groups(rows.withColumn("_mid", F.col("_id").cast("string")), place, 1000) is None
+    assert len(patterns.hot_groups(small, place, 100).first()["_cuts"]) > 20
+    assert patterns.hot_groups(rows, place, 1 << 40) is None
+    assert patterns.hot_groups(rows.withColumn("_mid", F.col("_id").cast("string")), place, 1000) is None
 
 
 def test_hot_device_is_spread_over_slices(spark):
     """One device holds all rows; no (device, slice) group holds more than a small share."""
     rows = spark.range(20_000).select(F.lit("hot").alias("mid"), (F.col("id") * 1000).alias("ts"))
-    sliced = rows.select("mid", F.explode(sequences.time_slices(F.col("ts"), 5000, 60_000)).alias("s"))
+    sliced = rows.select("mid", F.explode(patterns.time_slices(F.col("ts"), 5000, 60_000)).alias("s"))
     top = sliced.groupBy("mid", "s").count().agg(F.max("count")).first()[0]
     assert top <= 65 and sliced.count() < 1.1 * 20_000
 

@@ -5,24 +5,19 @@ broken client id) may hold a large part of the log:
 
 * first records come from a map-side combined aggregate, one small row per device and task;
 * the flag goes back to the log by record id, which spreads evenly;
-* the look-ahead of the bounce pattern is bounded by its time limit, so a device's records are cut
-  into time slices, and only the records just after a slice's end are copied into it; a slice that
-  is still heavy (many records in one minute, or all with one time) is cut further by position.
+* bounces are a pattern of two steps within a time limit (``operators/patterns.py``), which cuts a
+  device's records by time, and further by position.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidemart.functions.times import at_millis, floor_div
+from tidemart.functions.times import at_millis
+from tidemart.operators import patterns
 from tidemart.operators.logs import entry_page, with_known_id
-
-SLICES_PER_LIMIT = 12
-# Rows of one window task at most, and how many sampled places lie between two cuts.
-CHUNK_ROWS = 1_000_000
-PLACES_PER_CHUNK = 16
+from tidemart.operators.patterns import CHUNK_ROWS, TIMEOUT, Pattern
 
 
 def device() -> Column:
@@ -55,12 +50,6 @@ def calendar_day(ms: Column) -> Column:
     return F.to_date(at_millis(ms))
 
 
-def time_slices(ms: Column, limit_ms: int, slice_ms: int) -> Column:
-    """The slice of a record, and also the slice before it when the record may follow an entry there."""
-    own = floor_div(ms, slice_ms)
-    return F.when(F.pmod(ms, F.lit(slice_ms)) < limit_ms, F.array(own, own - 1)).otherwise(F.array(own))
-
-
 def bounces(page: DataFrame, limit_ms: int = 5000, *, entry_after_entry: bool = True,
             slice_ms: int | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Entry pages whose visitor left: no next page of the device within ``limit_ms``.
@@ -68,73 +57,17 @@ def bounces(page: DataFrame, limit_ms: int = 5000, *, entry_after_entry: bool =
     An entry followed by another entry inside the limit is a bounce too, unless
     ``entry_after_entry`` is off. A gap of exactly the limit is a bounce.
     """
-    slice_ms = max(slice_ms or SLICES_PER_LIMIT * limit_ms, limit_ms)
-    entry = F.coalesce(entry_page(), F.lit(False))
-    # Only entries can come out, so every other record travels without its payload.
-    sliced = page.select(
-        device().alias("_mid"), F.col("ts").alias("_ts"), F.col("rec_id").alias("_id"),
-        entry.alias("_entry"),
-        F.when(entry, F.struct(*page.columns)).alias("_r"),
-        F.explode(time_slices(F.col("ts"), limit_ms, slice_ms)).alias("_slice"))
-    sliced = (sliced.withColumn("_own", F.col("_slice") == floor_div(F.col("_ts"), slice_ms))
-              .withColumn("_r", F.when(F.col("_own"), F.col("_r"))))
-    followed = with_next(sliced, F.struct("_ts", "_entry"), chunk_rows)
-    left = F.col("_next").isNull() | (F.col("_next._ts") - F.col("_ts") >= limit_ms)
-    if entry_after_entry:
-        left = left | F.col("_next._entry")
-    return followed.where(F.col("_own") & F.col("_entry") & left).select("_r.*")
-
-
-def with_next(rows: DataFrame, value: Column, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """``_next``: the value of the following row by (_ts, _id) in the same (_mid, _slice)."""
-    place = F.struct("_ts", "_id", value.alias("_value"))
-    hot = hot_groups(rows, place, chunk_rows)
-    if hot is None:
-        following = Window.partitionBy("_mid", "_slice").orderBy("_ts", "_id")
-        return rows.withColumn("_next", F.lead(value).over(following))
-    # Hot groups are cut into chunks, all others stay whole. A cut is the place of a real row, so the
-    # row after a chunk's last one is the next cut itself.
-    same = F.col("_mid").eqNullSafe(F.col("_hmid")) & (F.col("_slice") == F.col("_hslice"))
-    chunk = F.when(F.col("_cuts").isNotNull(), cuts_before(place)).otherwise(0)
-    cut = (rows.join(F.broadcast(hot), same, "left").withColumn("_chunk", chunk)
-           .withColumn("_after", F.get("_cuts", F.col("_chunk"))["_value"])
-           .drop("_hmid", "_hslice", "_cuts"))
-    following = Window.partitionBy("_mid", "_slice", "_chunk").orderBy("_ts", "_id")
-    return (cut.withColumn("_next", F.coalesce(F.lead(value).over(following), F.col("_after")))
-            .drop("_chunk", "_after"))
-
-
-def cuts_before(position: Column) -> Column:
-    """How many of the sorted ``_cuts`` are not after a position, by halving steps."""
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(30))])
-
-    def step(passed: Column, width: Column) -> Column:
-        reached = passed + width
-        inside = (reached <= F.size("_cuts")) & (F.get("_cuts", reached - 1) <= position)
-        return F.when(inside, reached).otherwise(passed)
-
-    return F.aggregate(steps, F.lit(0), step)
-
-
-def hot_groups(rows: DataFrame, place: Column, chunk_rows: int = CHUNK_ROWS) -> DataFrame | None:
-    """(_mid, _slice) groups of more than ``chunk_rows`` rows, and the places to cut them; None without any.
-
-    Groups are counted over all rows. Their cuts come from places picked by a hash of the record id, about
-    ``PLACES_PER_CHUNK`` in ``chunk_rows``, so chunks keep their size and their number grows with the data.
-    An uneven cut only costs time. There is one cut per chunk, so the answer is small beside the data.
-    """
-    counted = (rows.groupBy("_mid", "_slice").agg(F.count("*").alias("n"))
-               .where(F.col("n") > chunk_rows).select(F.col("_mid").alias("_hmid"), F.col("_slice").alias("_hslice")))
-    hot = counted.collect()
-    if not hot:
-        return None
-    same = F.col("_mid").eqNullSafe(F.col("_hmid")) & (F.col("_slice") == F.col("_hslice"))
-    picked = F.pmod(F.xxhash64("_id", "_ts"), F.lit(chunk_rows)) < PLACES_PER_CHUNK
-    within = rows.where(picked).join(F.broadcast(rows.sparkSession.createDataFrame(hot, counted.schema)), same)
-    cuts = (f"transform(sequence({PLACES_PER_CHUNK}, greatest(n - 1, {PLACES_PER_CHUNK}), {PLACES_PER_CHUNK}), "
-            "i -> get(p, CAST(i AS INT))) AS _cuts")
-    found = (within.groupBy("_hmid", "_hslice")
-             .agg(F.count("*").alias("n"), F.sort_array(F.collect_list(place)).alias("p"))
-             .where(F.col("n") > PLACES_PER_CHUNK).selectExpr("_hmid", "_hslice", cuts))
-    groups = found.collect()
-    return rows.sparkSession.createDataFrame(groups, found.schema) if groups else None
+    found = patterns.detect(page, bounce_pattern(limit_ms, entry_after_entry), device(), slice_ms=slice_ms,
+                            chunk_rows=chunk_rows)
+    return bounced(found, entry_after_entry).select("record.*")
+
+
+def bounce_pattern(limit_ms: int, entry_after_entry: bool = True) -> Pattern:
+    """An entry and the page right after it: another entry, or any page."""
+    second = entry_page() if entry_after_entry else F.lit(True)
+    return Pattern.begin("entry", entry_page()).next("second", second).within(limit_ms)
+
+
+def bounced(found: DataFrame, entry_after_entry: bool = True) -> DataFrame:
+    """Timeouts, and matches where a second entry counts."""
+    return found if entry_after_entry else found.where(F.col("outcome") == TIMEOUT)

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions import texts, times
-from tidemart.operators import cdc, dashboard, joins, keywords, logs, sequences, stats
+from tidemart.operators import cdc, dashboard, joins, keywords, logs, patterns, sequences, stats
+from tidemart.operators.patterns import Pattern
 from tidemart.plans import warehouse
 from tidemart.schemas import CHANGE, PAGE_LOG
 from tidemart.session import shared_dir, stored
@@ -210,6 +211,26 @@ def display_explode(s: Sample) -> DataFrame:
         "ts", "page_id", "mid", "vc", "item", "item_type", "order")
 
 
+def funnel_pattern() -> Pattern:
+    """From a list of products to a product's page to a payment, with any pages between."""
+    page = F.col("page.page_id")
+    return (Pattern.begin("list", page == "good_list").followed_by("product", page == "good_detail")
+            .followed_by("payment", page == "payment").within(PARAMS.bounce_ms))
+
+
+def funnel_rows(attempts: DataFrame) -> DataFrame:
+    """(rec_id, ts, mid, outcome, ids) to one flat row per attempt."""
+    return attempts.select(
+        "rec_id", "ts", "mid", "outcome", F.size("ids").alias("reached"),
+        F.get("ids", F.lit(1)).alias("product_id"), F.get("ids", F.lit(2)).alias("payment_id"))
+
+
+def funnel_three_steps(s: Sample) -> DataFrame:
+    found = patterns.detect(pages(s), funnel_pattern(), F.col("common.mid"))
+    return funnel_rows(found.select("record.rec_id", "record.ts", "record.common.mid", "outcome",
+                                    F.col("taken.id").alias("ids")))
+
+
 # ------------------------------------------------------------ dashboard, one day of a stored table
 
 def last_day(stats: DataFrame, name: str, ask: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
@@ -255,6 +276,7 @@ TABLE_QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "daily_first_visit": lambda s: flat_log(sequences.daily_first_visit(pages(s))),
     "jump_timeout_only": lambda s: flat_log(
         sequences.bounces(pages(s), PARAMS.bounce_ms, entry_after_entry=False)),
+    "funnel_three_steps": funnel_three_steps,
     "jump_detail": lambda s: flat_log(sequences.bounces(pages(s), PARAMS.bounce_ms)),
     # statistics
     "visitor_stats": visitor_table,

@@ -65,6 +65,14 @@ SELECT * EXCLUDE (nth_of_day, next_ts, next_is_entry) FROM numbered
 WHERE coalesce(last_page_id, '') = ''
   AND (next_ts IS NULL OR next_ts - ts >= {SIX_HOURS} OR next_is_entry)"""
 
+# Places of the nearest later product page and payment page of each page of a device.
+TABLES["walk"] = """
+SELECT rec_id, ts, mid, page_id, nth,
+  min(CASE WHEN page_id = 'good_detail' THEN nth END) OVER later AS next_product,
+  min(CASE WHEN page_id = 'payment' THEN nth END) OVER later AS next_payment
+FROM (SELECT *, row_number() OVER (PARTITION BY mid ORDER BY ts, rec_id) AS nth FROM page)
+WINDOW later AS (PARTITION BY mid ORDER BY nth ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"""
+
 TABLES["slow_bounce"] = f"""
 SELECT * EXCLUDE (nth_of_day, next_ts, next_is_entry) FROM numbered
 WHERE coalesce(last_page_id, '') = '' AND (next_ts IS NULL OR next_ts - ts >= {SIX_HOURS})"""
@@ -258,7 +266,7 @@ FROM edit GROUP BY ALL"""
 # Which common tables each one reads.
 NEEDS: dict[str, tuple[str, ...]] = {
     "page": ("log",), "display": ("log",), "numbered": ("page",), "first_visit": ("numbered",),
-    "bounce": ("numbered",), "slow_bounce": ("numbered",),
+    "bounce": ("numbered",), "walk": ("page",), "slow_bounce": ("numbered",),
     "visitor": ("page", "first_visit", "bounce"), "base": ("oi", "od"), "owide": ("base",),
     "pwide": ("pay", "owide"), "fact": ("page", "display", "shop", "base", "pay"),
     "pstat": ("fact",), "product": ("pstat",), "province": ("owide",), "searched": ("word",),
@@ -372,6 +380,15 @@ SELECT rec_id, coalesce(item, 'none') AS item, coalesce(contains(page_id, 'good'
 SELECT rec_id, ts, mid, page_id, last_page_id, item, during_time, CASE WHEN row_number()
   OVER (PARTITION BY mid ORDER BY ts, rec_id) = 1 THEN '1' ELSE '0' END AS is_new FROM log"""),
     "daily_first_visit": (("first_visit",), f"SELECT {PAGE_COLUMNS} FROM first_visit"),
+    "funnel_three_steps": (("walk",), f"""
+SELECT rec_id, ts, mid, CASE WHEN payment_id IS NOT NULL THEN 'match' ELSE 'timeout' END AS outcome,
+  CAST(1 + CAST(product_id IS NOT NULL AS INTEGER) + CAST(payment_id IS NOT NULL AS INTEGER) AS INTEGER) AS reached,
+  product_id, payment_id
+FROM (SELECT l.rec_id, l.ts, l.mid, CASE WHEN p.ts - l.ts < {SIX_HOURS} THEN p.rec_id END AS product_id,
+        CASE WHEN y.ts - l.ts < {SIX_HOURS} THEN y.rec_id END AS payment_id
+      FROM walk l LEFT JOIN walk p ON p.mid = l.mid AND p.nth = l.next_product
+      LEFT JOIN walk y ON y.mid = p.mid AND y.nth = p.next_payment
+      WHERE l.page_id = 'good_list')"""),
     "jump_timeout_only": (("slow_bounce",), f"SELECT {PAGE_COLUMNS} FROM slow_bounce"),
     "jump_detail": (("bounce",), f"SELECT {PAGE_COLUMNS} FROM bounce"),
     "visitor_stats": (("visitor",), "SELECT * FROM visitor"),

@@ -16,7 +16,8 @@ from tidemart.functions.texts import to_lines
 from tidemart.functions.times import to_millis
 from tidemart.operators import cdc, logs, sequences
 from tidemart.plans.catalog import (
-    AS_OF, AS_OF_MS, DAY, HOUR, PARAMS, flat_log, order_wide_base, order_wide_table, pages, product_table, routed_rows)
+    AS_OF, AS_OF_MS, DAY, HOUR, PARAMS, flat_log, funnel_pattern, funnel_rows,
+    order_wide_base, order_wide_table, pages, product_table, routed_rows)
 from tidemart.plans import warehouse
 from tidemart.schemas import PAGE_LOG
 from tidemart.sources.sample import Sample
@@ -95,6 +96,13 @@ def stream_jump_detail(s: Sample) -> DataFrame:
                                lambda t: jobs.bounces(t["dwd_page_log"], PARAMS.bounce_ms)))
 
 
+def stream_funnel_three_steps(s: Sample) -> DataFrame:
+    found = replay(s.spark, "funnel", {"dwd_page_log": log_feed(pages(s))},
+                   lambda t: jobs.pattern_attempts(t["dwd_page_log"], funnel_pattern()))
+    starts = logs.parse_lines(found, PAGE_LOG, "outcome", "ids")
+    return funnel_rows(starts.select("rec_id", "ts", "common.mid", "outcome", "ids"))
+
+
 def stream_visitor_stats(s: Sample) -> DataFrame:
     page = pages(s)
     feeds = {
@@ -196,6 +204,7 @@ STREAM_QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "stream_repair_is_new": stream_repair_is_new,
     "stream_daily_first_visit": stream_daily_first_visit,
     "stream_jump_detail": stream_jump_detail,
+    "stream_funnel_three_steps": stream_funnel_three_steps,
     "stream_visitor_stats": stream_visitor_stats,
     "stream_order_wide": lambda s: stream_order_wide(s).drop("et"),
     "stream_payment_wide": stream_payment_wide,
@@ -217,5 +226,6 @@ TWINS = {
     "stream_payment_wide": "payment_wide", "stream_province_stats": "province_stats",
     "stream_product_stats": "product_stats", "stream_keyword_stats": "keyword_stats",
     "stream_product_keywords": "product_keywords", "stream_cdc_routes_as_of": "cdc_routes_as_of",
+    "stream_funnel_three_steps": "funnel_three_steps",
 }
 

@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 
 from tidemart.functions.texts import plain_type
 from tidemart.functions.times import floor_div
-from tidemart.operators import cdc, keywords, logs, sequences, stats, wide
+from tidemart.operators import cdc, keywords, logs, patterns, sequences, stats, wide
 from tidemart.operators.asof import BEGINNING
+from tidemart.operators.patterns import Pattern
 from tidemart.operators.wide import Dims
 from tidemart.plans.warehouse import Params, routed_changes
 from tidemart.schemas import (
@@ -24,7 +25,7 @@ from tidemart.schemas import (
 from tidemart.session import exists
 from tidemart.sinks.dims import write_batch
 from tidemart.sinks.topics import routed_lines
-from tidemart.streaming.processors import FirstEver, FirstOfDay, LeftWithoutNext, RouteAsOf
+from tidemart.streaming.processors import FirstEver, FirstOfDay, PatternAttempts, RouteAsOf
 
 VALUE = T.StructType([T.StructField("value", T.StringType())])
 FIRST = T.StructType([
@@ -74,20 +75,38 @@ def daily_first_visit(lines: DataFrame, size: str = "5 seconds", delay: str = "3
     return windows.groupBy("mid").transformWithState(FirstOfDay(), VALUE, "append", "None")
 
 
-def bounces(lines: DataFrame, limit_ms: int = 5000, delay: str = "3 seconds", *,
-            entry_after_entry: bool = True, slice_ms: int | None = None) -> DataFrame:
-    """Page lines of entries whose visitor left; time slices as in the table operator."""
-    slice_ms = max(slice_ms or sequences.SLICES_PER_LIMIT * limit_ms, limit_ms)
+ATTEMPTS = T.StructType([
+    T.StructField("value", T.StringType()), T.StructField("outcome", T.StringType()),
+    T.StructField("times", T.ArrayType(T.LongType())), T.StructField("ids", T.ArrayType(T.LongType()))])
+
+
+def pattern_attempts(lines: DataFrame, pattern: Pattern, delay: str = "3 seconds",
+                     slice_ms: int | None = None) -> DataFrame:
+    """Attempts at a pattern per device: the starting line, its outcome, times and ids of the steps reached.
+
+    Time slices are those of the table operator. State is kept for the records of the last two limits. Records
+    that meet no step are left out by the processor: a filter would be pushed below the watermark and hold it up.
+    """
     page = logs.with_known_id(_parsed(lines, delay))
-    entry = F.coalesce(logs.entry_page(), F.lit(False))
+    met = pattern.met()
+    bits = sum((m.cast("int") * (1 << k) for k, m in enumerate(met)), F.lit(0))
+    slice_ms = pattern.slice_ms(slice_ms)
     sliced = page.select(
-        F.col("common.mid").alias("mid"), "et", "ts", "rec_id", entry.alias("entry"), "value",
-        F.explode(sequences.time_slices(F.col("ts"), limit_ms, slice_ms)).alias("slice"))
+        F.col("common.mid").alias("mid"), "et", "ts", "rec_id", bits.alias("met"), "value",
+        F.explode(patterns.time_slices(F.col("ts"), pattern.limit_ms, slice_ms)).alias("slice"))
     own = F.col("slice") == floor_div(F.col("ts"), slice_ms)
-    ready = sliced.select("mid", "slice", "et", "ts", "rec_id", "entry", own.alias("own"),
-                          F.when(own & F.col("entry"), F.col("value")).alias("value"))
+    starts = own & (F.col("met") % 2 == 1)
+    ready = sliced.select("mid", "slice", "et", "ts", "rec_id", "met", own.alias("own"),
+                          F.when(starts, F.col("value")).alias("value"))
     return ready.groupBy("mid", "slice").transformWithState(
-        LeftWithoutNext(limit_ms, entry_after_entry), VALUE, "append", "EventTime")
+        PatternAttempts(pattern.strict, pattern.limit_ms), ATTEMPTS, "append", "EventTime")
+
+
+def bounces(lines: DataFrame, limit_ms: int = 5000, delay: str = "3 seconds", *,
+            entry_after_entry: bool = True, slice_ms: int | None = None) -> DataFrame:
+    """Page lines of entries whose visitor left."""
+    found = pattern_attempts(lines, sequences.bounce_pattern(limit_ms, entry_after_entry), delay, slice_ms)
+    return sequences.bounced(found, entry_after_entry).select("value")
 
 
 def order_wide(order_lines: DataFrame, detail_lines: DataFrame, dims: Dims | None, as_of: str | None,
