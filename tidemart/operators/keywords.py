@@ -26,12 +26,12 @@ def sum_words(split: DataFrame) -> DataFrame:
         F.sum("cart_ct").alias("cart_ct"))
 
 
-def unpivot_counts(sums: DataFrame) -> DataFrame:
-    """Up to three rows (click, order, cart) per word, only where the count is positive."""
+def unpivot_counts(sums: DataFrame, *keep: str) -> DataFrame:
+    """Up to three rows (click, order, cart) per word, only where the count is positive; ``keep`` stays beside."""
     return sums.select(
         "stt", "edt", F.col("word").alias("keyword"),
         F.expr("stack(3, 'click', click_ct, 'order', order_ct, 'cart', cart_ct) as (source, ct)"),
-    ).where(F.col("ct") > 0)
+        *keep).where(F.col("ct") > 0)
 
 
 def product_keywords(product_stats: DataFrame, as_of_ms: int | None = None) -> DataFrame:

@@ -474,5 +474,8 @@ def stream_sql() -> dict[str, str]:
 SELECT sink_table AS topic, count(*) AS n FROM routed WHERE sink_type = 'kafka' GROUP BY 1"""),
         "stream_dim_upsert": sql_text(("routed",), """
 SELECT id, coalesce(name, '') AS name FROM routed WHERE sink_type = 'hbase'"""),
+        "stream_keyword_rollup": sql_text(("pkey",), """
+SELECT stt, edt, source, count(*) AS keyword_ct, CAST(sum(ct) AS BIGINT) AS ct,
+  count(*) FILTER (ct >= 10) AS popular_ct FROM pkey GROUP BY 1, 2, 3"""),
         "late_rows": sql_text(("rounds",), LATE_ROWS),
     }

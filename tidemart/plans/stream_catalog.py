@@ -20,6 +20,7 @@ from tidemart.plans.catalog import (
     order_wide_base, order_wide_table, pages, product_table, routed_rows)
 from tidemart.plans import warehouse
 from tidemart.schemas import PAGE_LOG
+from tidemart.session import shared_dir
 from tidemart.sources.sample import Sample
 from tidemart.sources.tables import read_dim, read_upserts
 from tidemart.streaming import jobs
@@ -158,6 +159,25 @@ def stream_product_keywords(s: Sample) -> DataFrame:
     return read_upserts(s.spark, out, ["stt", "edt", "keyword", "source"])
 
 
+def stream_keyword_rollup(s: Sample) -> DataFrame:
+    """Two jobs: keyword totals as a changelog, and groups of keywords over the changelog's files."""
+    base = shared_dir(s.spark, "keyword_rollup")
+    # The later half of the statistics comes first in some windows, so totals change from round to round.
+    feed = fact_feed(product_table(s).withColumn("arrival", F.concat(F.lit("2024-01-0"), F.col("sku_id") % 3 + 1,
+                                                                     F.lit(" 00:00:00"))), "arrival")
+
+    def run(topics: dict[str, DataFrame]) -> None:
+        changes = jobs.keyword_changes(topics["dws_product_stats"])
+        runner.catch_up(runner.file_sink(changes, f"{base}/changes", f"{base}/checkpoint-changes"))
+        sent = s.spark.readStream.schema(changes.schema).parquet(f"{base}/changes")
+        runner.catch_up(runner.batch_sink(jobs.keyword_rollup(sent), upsert_batch(f"{base}/out"),
+                                          f"{base}/checkpoint-rollup", "update"))
+
+    runner.feed_rounds(s.spark, base, {"dws_product_stats": feed}, run, 3, partitions=one_wave(s.spark))
+    found = read_upserts(s.spark, f"{base}/out", ["stt", "edt", "source"])
+    return found.where("rows_ct > 0").withColumnRenamed("rows_ct", "keyword_ct")
+
+
 def routed_replay(s: Sample) -> str:
     lines = s.change_lines().withColumn("ts", F.get_json_object("value", "$.ts").cast("bigint"))
     return replay_batches(s.spark, "routes", {"ods_db": Feed(lines)}, lambda t: t["ods_db"],
@@ -212,6 +232,7 @@ STREAM_QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     "stream_product_stats": stream_product_stats,
     "stream_keyword_stats": stream_keyword_stats,
     "stream_product_keywords": stream_product_keywords,
+    "stream_keyword_rollup": stream_keyword_rollup,
     "stream_cdc_routes": stream_cdc_routes,
     "stream_cdc_routes_as_of": lambda s: routed_rows(stream_routes_as_of(s)),
     "stream_dim_upsert": stream_dim_upsert,

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemart.functions.texts import plain_type
 from tidemart.functions.times import floor_div
-from tidemart.operators import cdc, keywords, logs, patterns, sequences, stats, wide
+from tidemart.operators import cdc, changelog, keywords, logs, patterns, sequences, stats, wide
 from tidemart.operators.asof import BEGINNING
 from tidemart.operators.patterns import Pattern
 from tidemart.operators.wide import Dims
@@ -25,7 +25,7 @@ from tidemart.schemas import (
 from tidemart.session import exists
 from tidemart.sinks.dims import write_batch
 from tidemart.sinks.topics import routed_lines
-from tidemart.streaming.processors import FirstEver, FirstOfDay, PatternAttempts, RouteAsOf
+from tidemart.streaming.processors import FirstEver, FirstOfDay, KeyedTotals, PatternAttempts, RouteAsOf
 
 VALUE = T.StructType([T.StructField("value", T.StringType())])
 FIRST = T.StructType([
@@ -168,6 +168,33 @@ def product_keywords(stats_lines: DataFrame, as_of_ms: int | None = None) -> Dat
     return keywords.product_keywords(logs.parse_lines(stats_lines, PRODUCT_COUNTS), as_of_ms)
 
 
+WORD_KEY = ("stt", "edt", "word")
+WORD_SUMS = ("click_ct", "order_ct", "cart_ct")
+
+
+def keyword_changes(stats_lines: DataFrame) -> DataFrame:
+    """Changelog of keyword totals of product statistics: (stt, edt, keyword, source, ct, sign), append mode.
+
+    A word's three totals change together; counts of zero are never sent, so neither is their withdrawal.
+    """
+    words = keywords.product_words(logs.parse_lines(stats_lines, PRODUCT_COUNTS)).na.fill("", list(WORD_KEY))
+    schema = T.StructType([
+        *[T.StructField(c, T.StringType()) for c in WORD_KEY], *[T.StructField(c, T.LongType()) for c in WORD_SUMS],
+        T.StructField("sign", T.IntegerType())])
+    totals = words.groupBy(*WORD_KEY).transformWithState(KeyedTotals(WORD_KEY, WORD_SUMS), schema, "append", "None")
+    return keywords.unpivot_counts(totals, "sign")
+
+
+def keyword_rollup(changes: DataFrame, popular: int = 10) -> DataFrame:
+    """Per window and source: keywords with a count (``rows_ct``), the sum of their counts, and how many reached ``popular``.
+
+    Run it in update mode over the changelog's files into ``sinks.stats.upsert_batch``.
+    """
+    return changelog.rollup(changes, ["stt", "edt", "source"], {
+        "ct": changelog.signed_sum("ct"),
+        "popular_ct": changelog.signed_count(F.col("ct") >= popular)})
+
+
 def route_batch(read_config: Callable[[], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch`` over change lines: facts to topic files, dimensions to their table.
 
