@@ -1,14 +1,18 @@
 """Byte-level BPE: recursive DuckDB queries inside each partition.
 
-Each task splits its texts into the pattern's pieces. Distinct pieces that are no vocabulary entry become
-rows (piece, position, token), one per byte at first. A recursive query joins neighbouring tokens with
-the merge table and contracts each piece's leftmost pair of least rank until a piece has no pair left; an
-ordered aggregation gives its ids, and another one over the vocabulary gives the decoded bytes. A text's
-ids are its pieces' ids in order.
+Each task splits its texts into the pattern's pieces. Distinct pieces become rows (piece, position, token), one
+per byte at first, or one in all where the piece is a vocabulary entry. A recursive query joins neighbouring
+tokens with the merge table and contracts each piece's leftmost pair of least rank until a piece has no pair
+left; ordered aggregations over the merged rows give a piece's ids and, joined with the vocabulary, the bytes that
+these decode to. A text's ids and bytes are those of its pieces in order.
 
-A task keeps at most ``KNOWN_LIMIT`` encoded pieces and works on about ``BLOCK_BYTES`` of text at a time.
-A recursion needs as many steps as its longest piece has merges, so pieces over ``LONGEST`` bytes (runs
-of thousands of letters) are merged by the tokenizer library, which gives the same ids.
+A task works on about ``BLOCK_BYTES`` of text at a time, a query on pieces whose steps are at most ``QUERY_ROWS`` rows,
+and a task remembers at most ``KNOWN_BYTES`` of encoded pieces. Its connection ends with it, so a reused worker
+keeps nothing but the vocabulary. DuckDB keeps to its memory limit and writes no files.
+
+A recursion needs as many steps as its longest piece has merges, each over all rows of the piece. Pieces over
+``LONGEST`` bytes (one "word" of thousands of letters) would take minutes to hours and are merged by the tokenizer
+library instead, which gives the same ids; their bytes are decoded by the vocabulary as well.
 
 A null text counts as empty: no ids, and decoded to empty bytes. Every row is returned with further
 columns; columns of the same names as the results are replaced.
@@ -28,9 +32,10 @@ from pyspark.sql import types as T
 
 from tidemart.llm import common, tokenizer
 
-BLOCK_BYTES = 8 << 20
-KNOWN_LIMIT = 400_000
-LONGEST = 512
+BLOCK_BYTES = 4 << 20
+KNOWN_BYTES = 24 << 20
+QUERY_ROWS = 2_000_000
+LONGEST = 2048
 
 MERGE = """
 WITH RECURSIVE state(w, p, t, live) AS (
@@ -47,12 +52,19 @@ WITH RECURSIVE state(w, p, t, live) AS (
         rank_at IS NOT NULL
     FROM pairs x LEFT JOIN best USING (w) WHERE rank_at IS NULL OR x.p <> gone)
 )
-SELECT w, list(t ORDER BY p) AS ids, list(b ORDER BY p) AS parts
+SELECT w, string_agg(t::VARCHAR, ' ' ORDER BY p) AS ids, string_agg(hex(b), '' ORDER BY p) AS decoded
 FROM state JOIN vocabulary USING (t) WHERE NOT live GROUP BY w ORDER BY w"""
 
+# The same answer for rows that are merged already.
+MERGED = """
+SELECT w, string_agg(t::VARCHAR, ' ' ORDER BY p) AS ids, string_agg(hex(b), '' ORDER BY p) AS decoded
+FROM bytes_ JOIN vocabulary USING (t) GROUP BY w ORDER BY w"""
+
 
-def merge_rows(ranks: dict[bytes, int]) -> pa.Table:
+@lru_cache(maxsize=1)
+def merge_rows(path: str) -> pa.Table:
     """(ab, r): two tokens, packed in one number, whose bytes together are the token of rank r."""
+    ranks = tokenizer.ranks(path)
     left, right, rank = [], [], []
     for token, r in ranks.items():
         for cut in range(1, len(token)):
@@ -75,65 +87,72 @@ class Encoder:
         self.path, self.ranks = path, tokenizer.ranks(path)
         self.find = regex.compile(public_tokenizers.PATTERN).findall
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
-        self.con.register("given", merge_rows(self.ranks))
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
+        self.con.register("given", merge_rows(path))
         self.con.execute("CREATE TABLE merges AS FROM given")
         self.con.register("given", pa.table({
             "t": pa.array(self.ranks.values(), pa.int32()), "b": pa.array(self.ranks, pa.binary())}))
         self.con.execute("CREATE TABLE vocabulary AS FROM given")
-        self.known: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        self.con.unregister("given")
+        self.known: dict[str, tuple[str, bytes]] = {}  # piece -> its ids as text, and the bytes they decode to
+        self.size = 0
 
-    def _keep(self, piece: str, ids: list[int], raw: bytes) -> None:
-        self.known[piece] = (tuple(ids), " ".join(map(str, ids)), raw)
+    def close(self) -> None:
+        self.con.close()
+
+    def _keep(self, piece: str, ids: str, decoded: bytes) -> None:
+        self.known[piece] = (ids, decoded)
+        self.size += len(ids) + 2 * len(decoded)
 
     def learn(self, pieces: set[str]) -> None:
         """Encode and decode the pieces that are not known yet."""
-        if len(self.known) > KNOWN_LIMIT:
+        if self.size > KNOWN_BYTES:
             self.known.clear()
-        open_: list[str] = []
-        raws: list[bytes] = []
+            self.size = 0
+        held: list[str] = []
+        tokens: list[np.ndarray] = []
+        rows = 0
         for piece in pieces.difference(self.known):
             raw = piece.encode()
-            if (one := self.ranks.get(raw)) is not None:
-                self._keep(piece, [one], raw)
-            elif len(raw) > LONGEST:
-                library = tokenizer.library(self.path)
-                ids = library.encode_ordinary(piece)
-                self._keep(piece, ids, library.decode_bytes(ids))
-            else:
-                open_.append(piece)
-                raws.append(raw)
-        if not open_:
-            return
-        lengths = np.array([len(r) for r in raws])
+            one = self.ranks.get(raw)
+            if one is None and len(raw) > LONGEST:
+                ids = tokenizer.library(self.path).encode_ordinary(piece)
+                self._query([piece], [np.array(ids, np.int32)], steps=False)
+                continue
+            first = self.bytes[np.frombuffer(raw, np.uint8)] if one is None else np.array([one], np.int32)
+            # A piece of n bytes has at most n steps of n, n - 1, ... rows.
+            rows += len(first) * (len(first) + 1) // 2
+            held.append(piece)
+            tokens.append(first)
+            if rows >= QUERY_ROWS:
+                self._query(held, tokens)
+                held, tokens, rows = [], [], 0
+        if held:
+            self._query(held, tokens)
+
+    def _query(self, pieces: list[str], tokens: list[np.ndarray], steps: bool = True) -> None:
+        lengths = np.array([len(t) for t in tokens])
         starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
         self.con.register("bytes_", pa.table({
-            "w": np.repeat(np.arange(len(raws), dtype=np.int32), lengths),
-            "p": (np.arange(len(starts)) - starts).astype(np.int32),
-            "t": self.bytes[np.frombuffer(b"".join(raws), np.uint8)]}))
-        found = self.con.sql(MERGE).to_arrow_table()
+            "w": np.repeat(np.arange(len(tokens), dtype=np.int32), lengths),
+            "p": (np.arange(len(starts)) - starts).astype(np.int32), "t": np.concatenate(tokens)}))
+        found = self.con.sql(MERGE if steps else MERGED).to_arrow_table()
         self.con.unregister("bytes_")
-        for piece, ids, parts in zip(open_, found["ids"].to_pylist(), found["parts"].to_pylist(), strict=True):
-            self._keep(piece, ids, b"".join(parts))
-
+        for piece, ids, decoded in zip(pieces, found["ids"].to_pylist(), found["decoded"].to_pylist(), strict=True):
+            self._keep(piece, ids, bytes.fromhex(decoded))
 
-@lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
 
-
-def _results(rows: list[list[tuple]], digest: bool) -> dict[str, pa.Array]:
+def _results(rows: list[list[tuple[str, bytes]]], digest: bool) -> dict[str, pa.Array]:
+    texts = [" ".join([r[0] for r in row]) for row in rows]
+    counts = pa.array([t.count(" ") + 1 if t else 0 for t in texts], pa.int64())
     if digest:
-        texts = [" ".join([r[1] for r in row]) for row in rows]
-        return {
-            "n_tokens": pa.array([t.count(" ") + 1 if t else 0 for t in texts], pa.int64()),
-            "ids_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
-            "decoded_sha256": pa.array(
-                [hashlib.sha256(b"".join([r[2] for r in row])).hexdigest() for row in rows], pa.string())}
-    ids = [[i for r in row for i in r[0]] for row in rows]
-    return {"n_tokens": pa.array(map(len, ids), pa.int64()),
-            "ids": pa.array(ids, pa.list_(pa.int32())),
-            "decoded": pa.array([b"".join([r[2] for r in row]) for row in rows], pa.binary())}
+        return {"n_tokens": counts,
+                "ids_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
+                "decoded_sha256": pa.array(
+                    [hashlib.sha256(b"".join([r[1] for r in row])).hexdigest() for row in rows], pa.string())}
+    return {"n_tokens": counts,
+            "ids": pa.array([np.fromstring(t, np.int32, sep=" ") for t in texts], pa.list_(pa.int32())),
+            "decoded": pa.array([b"".join([r[1] for r in row]) for row in rows], pa.binary())}
 
 
 def _encode(column: int, path: str, digest: bool):
@@ -145,15 +164,18 @@ def _encode(column: int, path: str, digest: bool):
             yield common.with_arrays(batch, _results(known, digest))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, held, size = encoder(path), [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.column(column).nbytes
-            if size >= BLOCK_BYTES:
+        coder, held, size = Encoder(path), [], 0
+        try:
+            for batch in batches:
+                held.append(batch)
+                size += batch.column(column).nbytes
+                if size >= BLOCK_BYTES:
+                    yield from work(held, coder)
+                    held, size = [], 0
+            if held:
                 yield from work(held, coder)
-                held, size = [], 0
-        if held:
-            yield from work(held, coder)
+        finally:
+            coder.close()
     return encode
 
 
