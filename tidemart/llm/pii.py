@@ -12,7 +12,9 @@ DataFrame functions only. Java's possessive loops make the patterns linear and f
 match what the plain ones match, because no loop may give back a character that the rest needs. Offsets
 are sums of the lengths between and within matches (code points, ends exclusive).
 
-A null text counts as empty and has no spans. Every row is returned; rows of one id are told apart.
+A null text counts as empty and has no spans. Every row is returned; rows of one id are told apart. Texts and
+words of any length are kept whole; tokens of fewer than ``LEAST_TOKEN`` characters are no instances. Columns besides
+id and text are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -33,9 +35,11 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "context": r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+",
 }
-LEFT_CHARS = 200
+# The last two words of a text that ends where a match begins, and what stands before the match in its own word.
+LAST_WORDS = r"(?<!\S)(?:\S++\s++){0,2}\S*+\z"
 ROUNDS = 3
 LEAST_SUPPORT = 3
+LEAST_TOKEN = 4
 LEAST_CONFIDENCE = 0.8
 BITS = 1 << 22
 
@@ -53,7 +57,7 @@ def _placed(text: str, kind: str, values: str) -> Column:
         # From the fourth match before this one on, so that words which are matches themselves count too.
         before = F.flatten(F.transform(F.slice(zipped, F.greatest(i - 3, F.lit(1)), F.least(i, F.lit(4))),
                                        lambda m: F.array(m["gap"], m["value"])))
-        return F.lower(F.substring(F.concat(F.array_join(before, ""), z["gap"]), -LEFT_CHARS, LEFT_CHARS))
+        return F.lower(F.regexp_extract(F.concat(F.array_join(before, ""), z["gap"]), LAST_WORDS, 0))
 
     return F.when(F.size(values) > 0, F.transform(
         F.filter(zipped, lambda z: z["value"].isNotNull()),
@@ -109,7 +113,7 @@ def instances(placed: DataFrame) -> DataFrame:
     """(row, start, end, token, pattern, seed): base spans, and tokens beside them, with their two words before."""
     context = KINDS.index("context")
     # A span may begin within a word; its pattern are the words before that word, which counts once.
-    inner = F.length(F.regexp_extract("left", r"(\S*)$", 1))
+    inner = F.length(F.regexp_extract("left", r"(\S*)\z", 1))
     seeds = placed.where(F.col("kind") < context).withColumn("at", F.col("start") - inner)
     seeds = seeds.groupBy("row", "at").agg(F.min(F.struct(
         "start", (-F.col("end")).alias("back"), "value", "left")).alias("s")).select(
@@ -126,9 +130,9 @@ def instances(placed: DataFrame) -> DataFrame:
     tokens = tokens.withColumn("end", F.col("start") + F.length("token")).where(~F.coalesce(F.exists(
         "base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"])), F.lit(False)))
     every = seeds.unionByName(tokens.select("row", "start", "end", "token", "left", F.lit(False).alias("seed")))
-    words = F.filter(F.split(F.regexp_replace("left", r"\S+$", ""), r"\s+"), lambda w: w != "")
+    words = F.filter(F.split(F.regexp_replace("left", r"\S+\z", ""), r"\s+"), lambda w: w != "")
     every = every.withColumn("_w", F.transform(F.concat(F.array(F.lit("^")), words), _marked))
-    return every.where(F.length("token") >= 4).select(
+    return every.where(F.length("token") >= LEAST_TOKEN).select(
         "row", "start", "end", "token",
         F.when(F.size("_w") >= 2, F.concat_ws(" ", F.slice("_w", -2, 2))).alias("pattern"), "seed")
 
@@ -166,22 +170,34 @@ def occurrences(docs: DataFrame, patterns: DataFrame, text: str = "text") -> Dat
     return hashed.join(counts, "h").select("pattern", "total")
 
 
-def trusted_patterns(edges: DataFrame, totals: DataFrame, rounds: int = ROUNDS,
+def trusted_patterns(docs: DataFrame, edges: DataFrame, text: str = "text", rounds: int = ROUNDS,
                      least: float = LEAST_CONFIDENCE, support: int = LEAST_SUPPORT) -> DataFrame:
-    """(pattern, confidence) after ``rounds`` rounds over edges (pattern, token, n, seed)."""
+    """(pattern, confidence) after ``rounds`` rounds over edges (pattern, token, n, seed).
+
+    A round counts in the corpus only the patterns that it could accept and no round before has counted: those
+    with enough trusted instances and, as a pattern has at least as many occurrences as instances, with
+    enough trust among its instances alone.
+    """
     sure = edges.where("seed").select("token", F.lit(1.0).alias("trust")).distinct()
     trust, accepted = sure, None
+    totals = edges.sparkSession.createDataFrame([], "pattern string, total bigint")
+    instances_of = edges.groupBy("pattern").agg(F.sum("n").alias("instances"))
     for _ in range(rounds):
         sums = edges.join(trust, "token").groupBy("pattern").agg(
             F.sum(F.col("n") * F.col("trust")).alias("mass"),
             F.sum((F.col("trust") >= 0.5).cast("int")).alias("trusted"))
-        accepted = stored(sums.join(totals, "pattern").select(
-            "pattern", F.least(F.col("mass") / F.col("total"), F.lit(1.0)).alias("confidence"), "trusted"
-        ).where((F.col("confidence") >= least) & (F.col("trusted") >= support)), "patterns")
+        likely = stored(sums.where(F.col("trusted") >= support).join(instances_of, "pattern").where(
+            F.col("mass") >= least * F.col("instances")).select("pattern", "mass"), "likely")
+        new = likely.select("pattern").join(totals, "pattern", "left_anti")
+        if not new.isEmpty():
+            totals = totals.unionByName(stored(occurrences(docs, new, text), "totals"))
+        accepted = stored(likely.join(totals, "pattern").select(
+            "pattern", F.least(F.col("mass") / F.col("total"), F.lit(1.0)).alias("confidence")
+        ).where(F.col("confidence") >= least), "patterns")
         reached = edges.join(accepted, "pattern").groupBy("token").agg(
             (1 - F.exp(F.sum(F.log(1.0001 - F.col("confidence"))))).alias("trust"))
         trust = stored(sure.unionByName(reached).groupBy("token").agg(F.max("trust").alias("trust")), "trust")
-    return accepted.select("pattern", "confidence")
+    return accepted
 
 
 def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -195,8 +211,7 @@ def personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     edges = stored(edges.join(several.select("pattern"), "pattern"), "edges")
     base = placed.where(F.col("kind") < KINDS.index("context")).select("row", "kind", "start", "end", "value")
     if not edges.where("seed").isEmpty():
-        totals = occurrences(docs, edges.select("pattern").distinct(), text)
-        accepted = trusted_patterns(edges, stored(totals, "totals"))
+        accepted = trusted_patterns(docs, edges, text)
         learned = tokens.where("NOT seed").join(accepted, "pattern").select(
             "row", F.lit(KINDS.index("context")).alias("kind"), "start", "end", F.col("token").alias("value"))
         base = base.unionByName(learned)
