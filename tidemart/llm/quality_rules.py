@@ -38,18 +38,21 @@ MAX_REPEATED_PERCENT = 50
 def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed.
 
-    The repeated windows of a text are found by sorting its own windows, only where some repeat.
+    The repeated windows of a text are found by sorting its own windows, only where some hash repeats:
+    windows of different hashes differ, those of equal ones are compared as text.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(common.SPACES)) != "")
     rows = docs.withColumns({"_w": common.words(whole), "_l": lines})
-    window = F.when(F.size("_w") >= 3, F.transform(
-        F.sequence(F.lit(0), F.size("_w") - 3),
-        lambda i: F.concat_ws(" ", F.col("_w")[i], F.col("_w")[i + 1], F.col("_w")[i + 2])))
-    rows = rows.withColumn("_g", window)
-    # array_distinct hashes, so a text without repeats costs no sort.
-    ordered = F.when(F.size(F.array_distinct("_g")) < F.size("_g"), F.sort_array(
-        F.transform("_g", lambda g, i: F.struct(g.alias("k"), i.alias("i")))))
+
+    def windows(made: Callable[..., Column]) -> Column:
+        return F.when(F.size("_w") >= 3, F.transform(
+            F.sequence(F.lit(0), F.size("_w") - 3),
+            lambda i: made(F.col("_w")[i], F.col("_w")[i + 1], F.col("_w")[i + 2], i)))
+
+    rows = rows.withColumn("_g", windows(lambda a, b, c, i: F.xxhash64(a, b, c)))
+    ordered = F.when(F.size(F.array_distinct("_g")) < F.size("_g"), F.sort_array(windows(
+        lambda a, b, c, i: F.struct(F.concat_ws(" ", a, b, c).alias("k"), i.alias("i")))))
     rows = rows.withColumn("_s", ordered)
 
     def same(j: Column, other: Column) -> Column:
@@ -74,18 +77,9 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     ).drop("_w", "_l", "_g", "_s")
 
 
-def ngrams(units: str, buckets: int) -> Column:
-    """Buckets of the unigrams and bigrams of an array column of units."""
-    def bucket(*parts: Column) -> Column:
-        return F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
-
-    return _each(units, bucket)
-
-
-def _each(units: str, hashed: Callable[..., Column]) -> Column:
-    return F.transform(F.col(units), lambda u, i: F.struct(
-        hashed(u).alias("one"),
-        F.when(i > 0, hashed(F.col(units)[F.greatest(i - 1, F.lit(0))], u)).alias("two")))
+def bucket_of(buckets: int) -> Callable[..., Column]:
+    """The bucket of an n-gram from its units."""
+    return lambda *units: F.pmod(F.xxhash64(*units), F.lit(buckets)).cast("int")
 
 
 def _with_units(docs: DataFrame, text: str) -> DataFrame:
@@ -93,21 +87,32 @@ def _with_units(docs: DataFrame, text: str) -> DataFrame:
     return docs.withColumn("_u", F.regexp_extract_all(whole, F.lit(UNIT), F.lit(0)))
 
 
+def _grams(docs: DataFrame, text: str, name: str, hashed: Callable[..., Column]) -> DataFrame:
+    """A row with the hash ``name`` for each unigram and bigram; other columns of ``docs`` stay.
+
+    Units are unnested with the unit before them, so the hashes are computed in compiled code.
+    """
+    kept = [c for c in docs.columns if c != text]
+    before = F.concat(F.array(F.lit(None).cast("string")), F.col("_u"))
+    pairs = _with_units(docs, text).where(F.size("_u") > 0).select(
+        *kept, F.inline(F.arrays_zip(F.slice(before, F.lit(1), F.size("_u")).alias("_p"), F.col("_u"))))
+    two = F.when(F.col("_p").isNotNull(), hashed(F.col("_p"), F.col("_u")))
+    each = pairs.select(*kept, F.explode(F.array(hashed(F.col("_u")), two)).alias(name))
+    return each.where(F.col(name).isNotNull())
+
+
 def bucket_number(docs: DataFrame, text: str = "text") -> int:
     """How many buckets give ``PER_BUCKET`` distinct n-grams each."""
-    grams = _with_units(docs.select(text), text).select(F.inline(_each("_u", F.xxhash64)))
-    count = grams.select(F.explode(F.array("one", "two")).alias("h")).agg(
-        F.approx_count_distinct("h", COUNT_ERROR)).first()[0]
+    grams = _grams(docs.select(text), text, "h", F.xxhash64)
+    count = grams.agg(F.approx_count_distinct("h", COUNT_ERROR)).first()[0]
     return max(1, round(count / PER_BUCKET))
 
 
 def bucket_counts(docs: DataFrame, trusted: Column, text: str, buckets: int) -> DataFrame:
     """(bucket, raw, target): counts over all documents, and over those where ``trusted`` holds."""
-    flagged = _with_units(docs.select(F.col(text), trusted.alias("_t")), text)
-    grams = flagged.select("_t", F.inline(ngrams("_u", buckets)))
-    each = grams.select("_t", F.explode(F.array("one", "two")).alias("bucket"))
-    return (each.where(F.col("bucket").isNotNull()).groupBy("bucket")
-            .agg(F.count("*").alias("raw"), F.sum(F.col("_t").cast("int")).alias("target")))
+    flagged = docs.select(F.col(text), trusted.cast("int").alias("_t"))
+    return _grams(flagged, text, "bucket", bucket_of(buckets)).groupBy("bucket").agg(
+        F.count("*").alias("raw"), F.sum("_t").alias("target"))
 
 
 def weights(counts: DataFrame, buckets: int, prior: float = PRIOR) -> DataFrame:
@@ -124,14 +129,20 @@ def weights(counts: DataFrame, buckets: int, prior: float = PRIOR) -> DataFrame:
 
 
 def score(docs: DataFrame, ratio: Column, text: str, buckets: int) -> DataFrame:
-    """``docs`` with ``score``: the mean log ratio of the n-grams; null without n-grams or ratios."""
-    rows = _with_units(docs, text).withColumn("_r", ratio)
-    rows = rows.withColumn("_n", ngrams("_u", buckets))
-    total = F.aggregate(
-        "_n", F.lit(0.0), lambda acc, n: acc + F.col("_r")[n["one"]]
-        + F.coalesce(F.col("_r")[n["two"]], F.lit(0.0)))
-    n = 2 * F.size("_n") - 1
-    return common.computed(rows, {"score": F.when(n > 0, total / n)}).drop("_u", "_r", "_n")
+    """``docs`` with ``score``: the mean log ratio of the n-grams; null without n-grams or ratios.
+
+    The ratios are read in one place only: the optimizer then puts them there instead of their column,
+    which would otherwise be copied into every row.
+    """
+    bucket = bucket_of(buckets)
+    units = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(UNIT), F.lit(0))
+    both = F.concat(
+        F.transform("_u", lambda u: bucket(u)),
+        F.transform(F.slice("_u", 2, F.size("_u")), lambda u, i: bucket(F.col("_u")[i], u)))
+    rows = common.computed(docs.withColumn("_u", units), {"_n": both}).withColumn("_r", ratio)
+    total = F.aggregate("_n", F.lit(0.0), lambda acc, n: acc + F.col("_r")[n])
+    kept = [c for c in docs.columns if c != "score"]
+    return rows.select(*kept, F.when(F.size("_n") > 0, total / F.size("_n")).alias("score"))
 
 
 def joined_score(docs: DataFrame, counts: DataFrame, text: str, buckets: int, prior: float = PRIOR) -> DataFrame:
@@ -141,8 +152,7 @@ def joined_score(docs: DataFrame, counts: DataFrame, text: str, buckets: int, pr
     sums = counts.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets")).where("targets > 0")
     ratios = counts.join(F.broadcast(sums)).select("bucket", F.log(
         (F.col("target") + prior) / (F.col("raw") / F.col("raws") * F.col("targets") + prior)).alias("ratio"))
-    grams = _with_units(rows.select("_row", text), text).select("_row", F.inline(ngrams("_u", buckets)))
-    each = grams.select("_row", F.explode(F.array("one", "two")).alias("bucket")).where("bucket IS NOT NULL")
+    each = _grams(rows.select("_row", text), text, "bucket", bucket_of(buckets))
     scores = each.groupBy("_row", "bucket").agg(F.count("*").alias("n")).join(ratios, "bucket").groupBy("_row").agg(
         (F.sum(F.col("n") * F.col("ratio")) / F.sum("n")).alias("score"))
     return rows.drop("score").join(scores, "_row", "left").drop("_row")
