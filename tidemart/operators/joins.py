@@ -15,6 +15,21 @@ SLICES_PER_SPAN = 10
 HOUR_MS = 3_600_000
 
 
+def slice_length(lower_ms: int, upper_ms: int) -> int:
+    return SLICES_PER_SPAN * max(upper_ms - lower_ms, 1000)
+
+
+def in_slices(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, lower_ms: int, upper_ms: int,
+              slice_ms: int) -> tuple[DataFrame, DataFrame]:
+    """Left rows with every slice (``_lslice``) their interval touches, right rows with their own (``_rslice``)."""
+    lms, rms = F.unix_millis(F.col(left_ts)), F.unix_millis(F.col(right_ts))
+    lslices = F.sequence(floor_div(lms + lower_ms, slice_ms), floor_div(lms + upper_ms, slice_ms))
+    lhs = left.select("*", F.explode(lslices).alias("_lslice"))
+    # Never null, so that the optimizer has no reason to compute the time once more in a filter.
+    rhs = right.select("*", F.coalesce(floor_div(rms, slice_ms), F.lit(0)).alias("_rslice"))
+    return lhs, rhs
+
+
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                   left_ts: str, right_ts: str, lower_ms: int, upper_ms: int,
                   slice_ms: int | None = None) -> DataFrame:
@@ -25,12 +40,9 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     slice its interval touches, which is one slice for most rows because a slice is longer than the
     interval. Works on two tables and on two streams with watermarks on the time columns.
     """
-    slice_ms = slice_ms or SLICES_PER_SPAN * max(upper_ms - lower_ms, 1000)
+    slice_ms = slice_ms or slice_length(lower_ms, upper_ms)
     lms, rms = F.unix_millis(F.col(left_ts)), F.unix_millis(F.col(right_ts))
-    lslices = F.sequence(floor_div(lms + lower_ms, slice_ms), floor_div(lms + upper_ms, slice_ms))
-    lhs = left.select("*", F.explode(lslices).alias("_lslice"))
-    # Never null, so that the optimizer has no reason to compute the time once more in a filter.
-    rhs = right.select("*", F.coalesce(floor_div(rms, slice_ms), F.lit(0)).alias("_rslice"))
+    lhs, rhs = in_slices(left, right, left_ts, right_ts, lower_ms, upper_ms, slice_ms)
     on = (F.col(left_key) == F.col(right_key)) & (F.col("_lslice") == F.col("_rslice"))
     within = rms.between(lms + lower_ms, lms + upper_ms)
     if left.isStreaming or right.isStreaming:
@@ -76,17 +88,17 @@ def planned_bytes(df: DataFrame) -> int:
 
 
 def small_lookup(facts: DataFrame, small: DataFrame, on: Sequence[str], spread_by: Sequence[str],
-                 limit: int = BROADCAST_LIMIT, salts: int = 128) -> DataFrame:
-    """Inner join with a table of few keys, where each key may hold a large part of the facts.
+                 limit: int = BROADCAST_LIMIT, salts: int = 128, how: str = "inner") -> DataFrame:
+    """Join with a table of few keys, where each key may hold a large part of the facts.
 
     The small side is broadcast when its planned size is below ``limit``. Otherwise the keys are
     salted: the facts draw a salt from ``spread_by`` and the small side is repeated per salt.
     """
     if planned_bytes(small) <= limit:
-        return facts.join(F.broadcast(small), list(on))
+        return facts.join(F.broadcast(small), list(on), how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    return salted.join(repeated, [*on, "_salt"]).drop("_salt")
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
 def coalesce_merge(rows: DataFrame, other: DataFrame, key: str, names: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from tidemart.functions.times import age_in_years, event_time
 from tidemart.operators.joins import DimSpec, enrich, interval_join
+from tidemart.operators.spread import spread_interval_join
 from tidemart.schemas import ORDER_WIDE, PAYMENT_WIDE
 
 MINUTE = 60_000
@@ -44,16 +46,27 @@ def _fill(schema: StructType, given: dict[str, str]) -> list[str]:
     return [f"CAST({given.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema]
 
 
+def _pairs(left: DataFrame, right: DataFrame, *columns_and_bounds, chunk_rows: int | None,
+           left_id: Sequence[str], right_id: Sequence[str]) -> DataFrame:
+    """Tables may have keys of more than ``chunk_rows`` rows; streams, and tables without a limit, are joined plainly."""
+    if chunk_rows is None or left.isStreaming or right.isStreaming:
+        return interval_join(left, right, *columns_and_bounds)
+    return spread_interval_join(left, right, *columns_and_bounds, chunk_rows=chunk_rows, left_id=left_id,
+                                right_id=right_id)
+
+
 def order_wide_base(orders: DataFrame, details: DataFrame, lower_ms: int = -5 * MINUTE,
                     upper_ms: int = 5 * MINUTE, delay: str | None = None,
-                    keep_time: bool = False) -> DataFrame:
+                    keep_time: bool = False, chunk_rows: int | None = None) -> DataFrame:
     """Order line with its order, both created within the interval. Dimension columns are null.
 
-    With ``keep_time`` the line's event time ``et`` stays for a following windowed aggregate.
+    With ``keep_time`` the line's event time ``et`` stays for a following windowed aggregate. With ``chunk_rows``
+    an order id of more rows than that is spread over several tasks.
     """
-    pairs = interval_join(
+    pairs = _pairs(
         _timed(orders, "o_", delay), _timed(details, "d_", delay),
-        "o_id", "d_order_id", "o_et", "d_et", lower_ms, upper_ms)
+        "o_id", "d_order_id", "o_et", "d_et", lower_ms, upper_ms, chunk_rows=chunk_rows,
+        left_id=("o_id", "o_user_id", "o_et"), right_id=("d_id",))
     given = {c: f"o_{c}" for c in _FROM_ORDER}
     given |= {c: f"d_{c}" for c in _FROM_DETAIL}
     given |= {
@@ -89,14 +102,17 @@ def add_dimensions(wide: DataFrame, dims: Dims, as_of: Column) -> DataFrame:
 
 
 def payment_wide(payments: DataFrame, order_wide: DataFrame, lower_ms: int = -45 * MINUTE,
-                 upper_ms: int = 5_000, delay: str | None = None) -> DataFrame:
+                 upper_ms: int = 5_000, delay: str | None = None,
+                 chunk_rows: int | None = None) -> DataFrame:
     """Payment with the order lines created at most 45 minutes before it or 5 seconds after it.
 
-    Where both sides carry a column (total_amount, user_id) the payment's value stays.
+    Where both sides carry a column (total_amount, user_id) the payment's value stays. ``chunk_rows`` as above, for
+    order lines kept as a table.
     """
-    pairs = interval_join(
+    pairs = _pairs(
         _timed(payments, "p_", delay), _timed(order_wide, "w_", delay),
-        "p_order_id", "w_order_id", "p_et", "w_et", lower_ms, upper_ms)
+        "p_order_id", "w_order_id", "p_et", "w_et", lower_ms, upper_ms, chunk_rows=chunk_rows,
+        left_id=("p_id",), right_id=("w_detail_id",))
     given = {c: f"w_{c}" for c in ORDER_WIDE.fieldNames()}
     given |= {c: f"p_{c}" for c in _FROM_PAYMENT}
     given |= {

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions import texts, times
-from tidemart.operators import cdc, dashboard, joins, keywords, logs, patterns, sequences, stats
+from tidemart.operators import cdc, dashboard, joins, keywords, logs, patterns, sequences, stats, wide
 from tidemart.operators.patterns import Pattern
 from tidemart.plans import warehouse
 from tidemart.schemas import CHANGE, PAGE_LOG
@@ -29,6 +29,7 @@ PARAMS = warehouse.Params(
     bounce_ms=6 * HOUR, order_lower_ms=-30 * DAY, order_upper_ms=30 * DAY,
     visitor_window="1 hour", product_window="6 hours", province_window="1 day",
     keyword_window="1 day")
+HOT_CHUNK_ROWS = 500
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -231,6 +232,18 @@ def funnel_three_steps(s: Sample) -> DataFrame:
                                     F.col("taken.id").alias("ids")))
 
 
+def order_lines_hot_key(s: Sample) -> DataFrame:
+    """Orders and lines within a day of each other, where one order id holds half of both tables."""
+    def shared(name: str) -> Column:
+        return F.when(F.col(name) % 2 == 0, 0).otherwise(F.col(name))
+
+    pairs = wide.order_wide_base(
+        s.orders().withColumn("id", shared("id")), s.details().withColumn("order_id", shared("order_id")),
+        -DAY, DAY, chunk_rows=HOT_CHUNK_ROWS)
+    return pairs.groupBy("create_date", "order_status").agg(
+        F.count("*").alias("n_pairs"), F.sum("split_total_amount").alias("amount"), F.sum("total_amount").alias("total"))
+
+
 # ------------------------------------------------------------ dashboard, one day of a stored table
 
 def last_day(stats: DataFrame, name: str, ask: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
@@ -269,6 +282,7 @@ TABLE_QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
     # wide facts
     "order_wide_base": lambda s: order_wide_base(s).drop("et"),
     "order_wide": lambda s: order_wide_table(s).drop("et"),
+    "order_lines_hot_key": order_lines_hot_key,
     "payment_wide": payment_wide_table,
     # sequences
     "repair_is_new": lambda s: flat_log(sequences.repair_is_new(s.log())),

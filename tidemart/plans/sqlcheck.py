@@ -375,6 +375,11 @@ SELECT rec_id, coalesce(item, 'none') AS item, coalesce(contains(page_id, 'good'
   coalesce(last_page_id, page_id, 'start') AS first_known FROM log"""),
     "order_wide_base": (("base",), f"SELECT {WIDE_COLUMNS}, {_EMPTY_DIMS} FROM base"),
     "order_wide": (("owide",), f"SELECT {WIDE_COLUMNS} FROM owide"),
+    "order_lines_hot_key": (("oi", "od"), """
+SELECT strftime(oi.ct, '%Y-%m-%d') AS create_date, oi.order_status, count(*) AS n_pairs,
+  CAST(sum(od.price) AS DOUBLE) AS amount, CAST(sum(oi.total_amount) AS DOUBLE) AS total
+FROM oi JOIN od ON CASE WHEN oi.id % 2 = 0 THEN 0 ELSE oi.id END = CASE WHEN od.order_id % 2 = 0 THEN 0 ELSE od.order_id END
+  AND od.ct BETWEEN oi.ct - INTERVAL 1 DAY AND oi.ct + INTERVAL 1 DAY GROUP BY 1, 2"""),
     "payment_wide": (("pwide",), f"SELECT {WIDE_COLUMNS.replace(' EXCLUDE (ct)', '')} FROM pwide"),
     "repair_is_new": (("log",), """
 SELECT rec_id, ts, mid, page_id, last_page_id, item, during_time, CASE WHEN row_number()

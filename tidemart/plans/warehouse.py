@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions.times import event_time
 from tidemart.operators import cdc, keywords, logs, sequences, stats, wide
+from tidemart.operators.spread import CHUNK_ROWS
 from tidemart.operators.wide import Dims
 from tidemart.schemas import CHANGE
 
@@ -25,6 +26,7 @@ class Params(NamedTuple):
     product_window: str = "5 seconds"
     province_window: str = "5 seconds"
     keyword_window: str = "10 seconds"
+    order_chunk_rows: int | None = CHUNK_ROWS
 
 
 def visitor_table(page: DataFrame, params: Params = Params()) -> DataFrame:
@@ -44,7 +46,8 @@ def visitor_table(page: DataFrame, params: Params = Params()) -> DataFrame:
 def order_base_table(orders: DataFrame, details: DataFrame, params: Params = Params()) -> DataFrame:
     """Order lines with their orders; the event time ``et`` stays for the layers above."""
     return wide.order_wide_base(
-        orders, details, params.order_lower_ms, params.order_upper_ms, keep_time=True)
+        orders, details, params.order_lower_ms, params.order_upper_ms, keep_time=True,
+        chunk_rows=params.order_chunk_rows)
 
 
 def order_wide_table(orders: DataFrame, details: DataFrame, dims: Dims, as_of: str,
