@@ -20,9 +20,11 @@ columns; columns of the same names as the results are replaced.
 
 from __future__ import annotations
 
+import gc
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -52,12 +54,12 @@ WITH RECURSIVE state(w, p, t, live) AS (
         rank_at IS NOT NULL
     FROM pairs x LEFT JOIN best USING (w) WHERE rank_at IS NULL OR x.p <> gone)
 )
-SELECT w, string_agg(t::VARCHAR, ' ' ORDER BY p) AS ids, string_agg(hex(b), '' ORDER BY p) AS decoded
+SELECT w, string_agg(t::VARCHAR, ' ' ORDER BY p) AS ids, unhex(string_agg(hex(b), '' ORDER BY p)) AS decoded
 FROM state JOIN vocabulary USING (t) WHERE NOT live GROUP BY w ORDER BY w"""
 
 # The same answer for rows that are merged already.
 MERGED = """
-SELECT w, string_agg(t::VARCHAR, ' ' ORDER BY p) AS ids, string_agg(hex(b), '' ORDER BY p) AS decoded
+SELECT w, string_agg(t::VARCHAR, ' ' ORDER BY p) AS ids, unhex(string_agg(hex(b), '' ORDER BY p)) AS decoded
 FROM bytes_ JOIN vocabulary USING (t) GROUP BY w ORDER BY w"""
 
 
@@ -100,71 +102,81 @@ class Encoder:
     def close(self) -> None:
         self.con.close()
 
-    def _keep(self, piece: str, ids: str, decoded: bytes) -> None:
-        self.known[piece] = (ids, decoded)
-        self.size += len(ids) + 2 * len(decoded)
-
     def learn(self, pieces: set[str]) -> None:
         """Encode and decode the pieces that are not known yet."""
         if self.size > KNOWN_BYTES:
             self.known.clear()
             self.size = 0
-        held: list[str] = []
-        tokens: list[np.ndarray] = []
+        words: list[str] = []
+        raws: list[bytes] = []
+        merged: dict[str, list[int]] = {}
         rows = 0
-        for piece in pieces.difference(self.known):
+        # Pieces of like length need about as many steps, so short ones do not wait for long ones.
+        for piece in sorted(pieces.difference(self.known), key=len):
             raw = piece.encode()
             one = self.ranks.get(raw)
-            if one is None and len(raw) > LONGEST:
-                ids = tokenizer.library(self.path).encode_ordinary(piece)
-                self._query([piece], [np.array(ids, np.int32)], steps=False)
-                continue
-            first = self.bytes[np.frombuffer(raw, np.uint8)] if one is None else np.array([one], np.int32)
-            # A piece of n bytes has at most n steps of n, n - 1, ... rows.
-            rows += len(first) * (len(first) + 1) // 2
-            held.append(piece)
-            tokens.append(first)
-            if rows >= QUERY_ROWS:
-                self._query(held, tokens)
-                held, tokens, rows = [], [], 0
-        if held:
-            self._query(held, tokens)
-
-    def _query(self, pieces: list[str], tokens: list[np.ndarray], steps: bool = True) -> None:
-        lengths = np.array([len(t) for t in tokens])
+            if one is not None:
+                merged[piece] = [one]
+            elif len(raw) > LONGEST:
+                merged[piece] = tokenizer.library(self.path).encode_ordinary(piece)
+            else:
+                # A piece of n bytes has at most n steps of n, n - 1, ... rows.
+                rows += len(raw) * (len(raw) + 1) // 2
+                words.append(piece)
+                raws.append(raw)
+                if rows >= QUERY_ROWS:
+                    self._merge(words, raws)
+                    words, raws, rows = [], [], 0
+        if words:
+            self._merge(words, raws)
+        if merged:
+            self._query(merged.keys(), merged.values(), np.array(list(chain(*merged.values())), np.int32), MERGED)
+
+    def _merge(self, words: list[str], raws: list[bytes]) -> None:
+        self._query(words, raws, self.bytes[np.frombuffer(b"".join(raws), np.uint8)], MERGE)
+
+    def _query(self, pieces: Collection[str], sized: Collection, tokens: np.ndarray, sql: str) -> None:
+        """Rows of ``tokens``, of which each piece has as many as its entry in ``sized`` is long, through ``sql``."""
+        lengths = np.fromiter(map(len, sized), np.int64, len(sized))
         starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
         self.con.register("bytes_", pa.table({
-            "w": np.repeat(np.arange(len(tokens), dtype=np.int32), lengths),
-            "p": (np.arange(len(starts)) - starts).astype(np.int32), "t": np.concatenate(tokens)}))
-        found = self.con.sql(MERGE if steps else MERGED).to_arrow_table()
+            "w": np.repeat(np.arange(len(lengths), dtype=np.int32), lengths),
+            "p": (np.arange(len(starts)) - starts).astype(np.int32), "t": tokens}))
+        found = self.con.sql(sql).to_arrow_table()
         self.con.unregister("bytes_")
-        for piece, ids, decoded in zip(pieces, found["ids"].to_pylist(), found["decoded"].to_pylist(), strict=True):
-            self._keep(piece, ids, bytes.fromhex(decoded))
+        answers = zip(found["ids"].to_pylist(), found["decoded"].to_pylist(), strict=True)
+        self.known.update(zip(pieces, answers, strict=True))
+        self.size += found["ids"].nbytes + 2 * found["decoded"].nbytes
 
 
-def _results(rows: list[list[tuple[str, bytes]]], digest: bool) -> dict[str, pa.Array]:
-    texts = [" ".join([r[0] for r in row]) for row in rows]
+def _results(rows: list[list[str]], coder: Encoder, digest: bool) -> dict[str, pa.Array]:
+    texts, decoded = [], []
+    for row in rows:
+        known = [coder.known[piece] for piece in row]
+        texts.append(" ".join([ids for ids, _ in known]))
+        decoded.append(b"".join([parts for _, parts in known]))
     counts = pa.array([t.count(" ") + 1 if t else 0 for t in texts], pa.int64())
     if digest:
         return {"n_tokens": counts,
                 "ids_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string()),
-                "decoded_sha256": pa.array(
-                    [hashlib.sha256(b"".join([r[1] for r in row])).hexdigest() for row in rows], pa.string())}
+                "decoded_sha256": pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string())}
     return {"n_tokens": counts,
             "ids": pa.array([np.fromstring(t, np.int32, sep=" ") for t in texts], pa.list_(pa.int32())),
-            "decoded": pa.array([b"".join([r[1] for r in row]) for row in rows], pa.binary())}
+            "decoded": pa.array(decoded, pa.binary())}
 
 
 def _encode(column: int, path: str, digest: bool):
     def work(held: list[pa.RecordBatch], coder: Encoder) -> Iterator[pa.RecordBatch]:
         pieces = [[coder.find(x.as_py() or "") for x in batch.column(column)] for batch in held]
-        coder.learn({p for batch in pieces for row in batch for p in row})
+        coder.learn(set(chain.from_iterable(chain.from_iterable(pieces))))
         for batch, rows in zip(held, pieces, strict=True):
-            known = [[coder.known[p] for p in row] for row in rows]
-            yield common.with_arrays(batch, _results(known, digest))
+            yield common.with_arrays(batch, _results(rows, coder, digest))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, held, size = Encoder(path), [], 0
+        # Millions of pieces, none of them in a cycle: the collector would walk them again and again.
+        collects = gc.isenabled()
+        gc.disable()
         try:
             for batch in batches:
                 held.append(batch)
@@ -176,6 +188,8 @@ def _encode(column: int, path: str, digest: bool):
                 yield from work(held, coder)
         finally:
             coder.close()
+            if collects:
+                gc.enable()
     return encode
 
 
