@@ -70,7 +70,8 @@ def planted(seed):
     def add(*words):
         rows.append((len(rows), " ".join([*prose(1000 * seed + len(rows), 6), *words, *prose(len(rows) + 7, 5)])))
 
-    for k in range(30):
+    # 90 seeds beside 10 unknown tokens: a confidence of 0.9, and of 18 in 22 for the words these lead to.
+    for k in range(90):
         add("write", "to", draw.choice([f"u{k}@mail.org", f"10.0.{k}.7"]))
     names = [f"agent-{k}x" for k in range(12)]
     for name in names[:10]:

@@ -42,6 +42,7 @@ LEAST_SUPPORT = 3
 LEAST_TOKEN = 4
 LEAST_CONFIDENCE = 0.8
 BITS = 1 << 22
+SHARES = (1024, 128, 16)
 
 
 def _found(text: str, kind: str) -> Column:
@@ -170,25 +171,46 @@ def occurrences(docs: DataFrame, patterns: DataFrame, text: str = "text") -> Dat
     return hashed.join(counts, "h").select("pattern", "total")
 
 
+def refuted(docs: DataFrame, patterns: DataFrame, text: str, least: float) -> DataFrame:
+    """Those of ``patterns`` (pattern, instances) that occur too often for any trust in their instances.
+
+    Occurrences in a part of the documents are at most those in all of them, so a part can refute a pattern but never
+    accept one. Frequent patterns fall to small parts; each part counts only what the smaller ones left over, so few
+    occurrences are counted one by one. What is left is counted over all documents.
+    """
+    out = patterns.select("pattern").where("false")
+    for share in SHARES:
+        left = patterns.join(out, "pattern", "left_anti")
+        part = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
+        often = occurrences(part, left, text).join(patterns, "pattern").where(
+            F.col("total") * least > F.col("instances"))
+        out = out.unionByName(stored(often.select("pattern"), "refuted"))
+    return out
+
+
 def trusted_patterns(docs: DataFrame, edges: DataFrame, text: str = "text", rounds: int = ROUNDS,
                      least: float = LEAST_CONFIDENCE, support: int = LEAST_SUPPORT) -> DataFrame:
     """(pattern, confidence) after ``rounds`` rounds over edges (pattern, token, n, seed).
 
     A round counts in the corpus only the patterns that it could accept and no round before has counted: those
     with enough trusted instances and, as a pattern has at least as many occurrences as instances, with
-    enough trust among its instances alone.
+    enough trust among its instances alone. Of these, ``refuted`` names those that no round can accept.
     """
     sure = edges.where("seed").select("token", F.lit(1.0).alias("trust")).distinct()
     trust, accepted = sure, None
     totals = edges.sparkSession.createDataFrame([], "pattern string, total bigint")
-    instances_of = edges.groupBy("pattern").agg(F.sum("n").alias("instances"))
+    hopeless = edges.sparkSession.createDataFrame([], "pattern string")
+    instances_of = stored(edges.groupBy("pattern").agg(F.sum("n").alias("instances")), "instances-of")
     for _ in range(rounds):
         sums = edges.join(trust, "token").groupBy("pattern").agg(
             F.sum(F.col("n") * F.col("trust")).alias("mass"),
             F.sum((F.col("trust") >= 0.5).cast("int")).alias("trusted"))
         likely = stored(sums.where(F.col("trusted") >= support).join(instances_of, "pattern").where(
             F.col("mass") >= least * F.col("instances")).select("pattern", "mass"), "likely")
-        new = likely.select("pattern").join(totals, "pattern", "left_anti")
+        new = likely.join(totals, "pattern", "left_anti").join(hopeless, "pattern", "left_anti").join(
+            instances_of, "pattern").select("pattern", "instances")
+        out = refuted(docs, new, text, least)
+        new, hopeless = new.join(out, "pattern", "left_anti"), hopeless.unionByName(out)
         if not new.isEmpty():
             totals = totals.unionByName(stored(occurrences(docs, new, text), "totals"))
         accepted = stored(likely.join(totals, "pattern").select(
