@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidemart.operators import asof
 from tidemart.operators.asof import as_of_join
 from tidemart.operators.cdc import config_versions
 from tidemart.schemas import CONFIG_LINE
@@ -65,6 +66,15 @@ def test_few_versions_leave_the_facts_where_they_are(spark):
     assert joined.count() == 95
 
 
+def test_a_long_history_of_one_key_is_carried(spark, monkeypatch):
+    """However small the versions are, no fact is joined with thousands of them."""
+    facts = spark.range(2000).selectExpr("'hot' AS k", "'i' AS o", "id AS at", "id AS pos")
+    versions = spark.range(1000).selectExpr("'hot' AS k", "'i' AS o", "id * 2 AS since", "id AS seq", "concat('v', id) AS name")
+    monkeypatch.setattr(asof, "_looked_up", None)
+    got = as_of_join(facts, versions, ["k", "o"], "at", "since", "seq", ["pos"], limit=1 << 40)
+    assert all(r.name == f"v{r.at // 2}" for r in got.collect()) and got.count() == 2000
+
+
 def edit(table, topic, op, at, seq):
     return (table, "insert", "kafka", topic, "id", None, None, op, at, seq)
 

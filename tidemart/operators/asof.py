@@ -7,8 +7,9 @@ of their key are dropped (``how="inner"``) or keep nulls (``how="left"``).
 
 Two physical forms give the same rows:
 
-* few versions: the versions of a key are one sorted array, broadcast, and a fact finds its own by halving
-  steps. The facts are not shuffled, so a key may hold any part of them.
+* few versions, also of any one key: the versions of a key are one sorted array, broadcast, and a fact finds its
+  own by halving steps. The facts are not shuffled, so a key may hold any part of them. Each fact is joined with
+  the whole array of its key, so long arrays would cost facts times versions.
 * many versions: both logs are merged, cut into ranges of (key, time) with about equal numbers of rows, and each
   range carries the last version forward. What a range starts with is the last version of the ranges before it,
   found among one row per key and range. A hot key is cut by time, and a pile of one time by position.
@@ -26,6 +27,8 @@ from tidemart.operators.joins import BROADCAST_LIMIT, planned_bytes
 from tidemart.session import stored
 
 BEGINNING = -(1 << 63)
+# Versions of one key that a fact may carry while it looks for its own.
+LOG_VERSIONS = 128
 
 
 def not_after(times: Column, at: Column, most: int) -> Column:
@@ -53,7 +56,7 @@ def as_of_join(facts: DataFrame, versions: DataFrame, on: Sequence[str], at: str
     # A frame may not know its size; what is written does.
     known = stored(known, "versions")
     timed = facts.withColumn("_fact_at", F.coalesce(F.col(at).cast("bigint"), F.lit(BEGINNING)))
-    if planned_bytes(known) <= limit:
+    if planned_bytes(known) <= limit and longest_log(known, on) <= LOG_VERSIONS:
         found = _looked_up(timed, known, on)
     else:
         found = _carried(timed, known, on, position)
@@ -62,6 +65,10 @@ def as_of_join(facts: DataFrame, versions: DataFrame, on: Sequence[str], at: str
     return found.select(*facts.columns, *[F.col("_version")[c].alias(c) for c in brought])
 
 
+def longest_log(versions: DataFrame, on: Sequence[str]) -> int:
+    return versions.groupBy(*on).count().agg(F.max("count")).first()[0] or 0
+
+
 def _looked_up(facts: DataFrame, versions: DataFrame, on: Sequence[str]) -> DataFrame:
     log = versions.groupBy(*on).agg(F.sort_array(F.collect_list(F.struct("_at", "_seq", "_version"))).alias("_log"))
     log = stored(log.select(*on, F.col("_log._at").alias("_times"), F.col("_log._version").alias("_versions")), "versions-by-key")
