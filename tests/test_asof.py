@@ -11,6 +11,7 @@ from tidemart.operators.asof import as_of_join
 from tidemart.operators.cdc import config_versions
 from tidemart.schemas import CONFIG_LINE
 from tidemart.streaming import jobs
+from tidemart.streaming.processors import RouteAsOf
 from tidemart.streaming.runner import Feed, replay
 
 FACTS = "k string, o string, at long, pos long"
@@ -106,3 +107,60 @@ def test_routes_change_between_runs_of_the_stream(spark):
                  rounds=3, partitions=2)
     late = {(r.table, r.ts): r.sink_table for r in out.collect()}
     assert late == {k: v for k, v in want.items() if k != ("t", 101)}
+
+
+class Handle:
+    """Map states in memory that count the calls."""
+
+    def __init__(self):
+        self.calls = 0
+        self.kept = {}
+
+    def getMapState(self, name, *schemas):
+        return self
+
+    def keys(self):
+        self.calls += 1
+        return iter(list(self.kept))
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.kept.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.kept[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.kept[key]
+
+
+@pytest.mark.parametrize("keep", [None, 700])
+def test_routes_are_kept_in_blocks(keep):
+    """Calls of the state grow with blocks, not with routes; later and earlier routes come in any order."""
+    draw, handle, job = random.Random(3), Handle(), RouteAsOf(keep)
+    job.init(handle)
+    known, newest = {}, 0
+    for batch in range(4):
+        edits = [(draw.randint(-500, 40_000), n + 10_000 * batch, f"r{batch}.{n}") for n in range(5000)]
+        changes = [draw.randint(-600, 41_000) for _ in range(300)]
+        packs = [json.dumps(edits[k:k + 512]) for k in range(0, 5000, 512)]
+        rows = [{"routes": p} for p in packs] + [{"routes": None, "at": at, "value": str(at)} for at in changes]
+        draw.shuffle(rows)
+        handle.calls = 0
+        got = sorted((int(r.value), r.route) for r in job.handleInputRows(("t",), iter(rows), None))
+        assert handle.calls < 500
+        for at, seq, route in edits:
+            known[at] = max(known.get(at, (-1, "")), (seq, route))
+        newest = max(known)
+        if keep is not None:
+            first = max(at for at in known if at <= newest - keep)
+            known = {at: value for at, value in known.items() if at >= first}
+        want = []
+        for at in changes:
+            before = [t for t in known if t <= at]
+            if before:
+                want.append((at, known[max(before)][1]))
+        assert got == sorted(want)
+    assert max(len(json.loads(rows)) for rows, in handle.kept.values()) <= 2 * job.BLOCK
