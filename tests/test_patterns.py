@@ -2,6 +2,7 @@
 
 import json
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tidemart.plans.stream_catalog import CLOSING_PAGE
 from tidemart.schemas import PAGE_LOG
 from tidemart.session import shared_dir
 from tidemart.streaming import jobs, runner
+from tidemart.streaming.processors import PatternAttempts
 from tidemart.streaming.runner import Feed, replay
 
 ROWS = "mid string, page string, ts long, rec_id long"
@@ -124,3 +126,70 @@ def test_state_ends_with_the_limit(spark):
     runner.feed_rounds(spark, base, feeds(spark, rows), run, 4, partitions=2)
     state = spark.read.format("statestore").option("stateVarName", "buckets").load(f"{base}/checkpoint")
     assert max(left) <= 5 * 6 and state.count() <= 5 * 6
+
+
+class Handle:
+    """Buckets and timers in memory; calls are counted."""
+
+    def __init__(self):
+        self.calls, self.kept, self.timers = 0, {}, set()
+
+    def called(self, result=None):
+        self.calls += 1
+        return result
+
+    def getMapState(self, name, *schemas):
+        return self
+
+    def registerTimer(self, at):
+        self.called(self.timers.add(at))
+
+    def exists(self):
+        return self.called(bool(self.kept))
+
+    def keys(self):
+        return self.called(iter(list(self.kept)))
+
+    def iterator(self):
+        return self.called(iter(list(self.kept.items())))
+
+    def getValue(self, key):
+        return self.called(self.kept.get(key))
+
+    def updateValue(self, key, value):
+        self.called(self.kept.update({key: value}))
+
+    def removeKey(self, key):
+        self.called(self.kept.pop(key))
+
+    def clear(self):
+        self.called(self.kept.clear())
+
+
+def test_a_key_has_one_timer(spark):
+    """Twelve buckets cost about one call each; what is not due waits for a timer of its own."""
+    handle, job = Handle(), PatternAttempts((False, True), 1000)
+    job.init(handle)
+
+    def give(*times):
+        rows = [SimpleNamespace(ts=t, rec_id=t, met=3, own=True, value=str(t)) for t in times]
+        assert list(job.handleInputRows(("m",), iter(rows), None)) == []
+
+    def wake(mark):
+        out = []
+        for at in sorted(t for t in handle.timers if t <= mark):
+            out += job.handleExpiredTimer(("m",), SimpleNamespace(getCurrentWatermarkInMs=lambda: mark), None)
+            handle.timers.discard(at)
+        return [(r.value, r.outcome) for r in out]
+
+    give(*range(1500, 13_500, 1000))
+    assert handle.timers == {3000}
+    assert handle.calls <= 14
+    give(500, 2900)
+    assert handle.timers == {2000, 3000}
+    assert wake(6000) == [("500", "timeout"), ("1500", "timeout"), ("2500", "match"), ("2900", "match"),
+                          ("3500", "timeout"), ("4500", "timeout")]
+    assert handle.timers == {7000} and min(handle.kept) == (5,)
+    handle.calls = 0
+    assert len(wake(99_000)) == 8 and not handle.kept and not handle.timers
+    assert handle.calls <= 3
