@@ -1,6 +1,7 @@
 """Streaming jobs against their table twins: several rounds, late rows, restarts from a checkpoint."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,3 +199,14 @@ def test_a_repeated_route_batch_writes_nothing_new(spark, sample, tmp_path):
     assert files and files == sorted(map(str, (tmp_path / "topics").rglob("*.parquet")))
     stream = read_files(spark, f"{tmp_path}/topics")
     assert stream.isStreaming
+
+
+def test_lines_of_a_replay_are_written_small(spark):
+    """Staged and landed lines, which repeat their field names, are written with the denser codec."""
+    base = shared_dir(spark, "t_lines")
+    lines = spark.range(20_000).selectExpr(
+        "id AS ts", """concat('{"create_time":"', hash(id), '","order_id":', id, ',"split_total_amount":', hash(id) % 997, '}') AS value""")
+    runner.feed_rounds(spark, base, {"log": runner.Feed(lines)}, lambda topics: None, 2)
+    for folder in ("staged", "landing"):
+        files = list(Path(base, folder).rglob("*.parquet"))
+        assert files and all(f.name.endswith(".zstd.parquet") for f in files)
