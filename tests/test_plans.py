@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from tidemart.operators import joins, sequences
-from tidemart.plans import catalog
+from tidemart.plans import catalog, stream_catalog
 
 
 def plan_of(df):
@@ -75,3 +75,13 @@ def test_large_small_side_is_not_broadcast(spark):
     assert joins.planned_bytes(large) > 1_000_000
     assert "_salt" in plan_of(joins.small_lookup(facts, large, ["k"], ["id"], limit=1_000_000))
     assert "_salt" not in plan_of(joins.small_lookup(facts, large, ["k"], ["id"], limit=1 << 30))
+
+
+def test_replays_write_to_their_state_without_reading_it_first(spark, monkeypatch):
+    name, seen = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows", []
+    before = spark.conf.get(name, None)
+    for run in ("replay", "replay_batches"):
+        monkeypatch.setattr(stream_catalog.runner, run, lambda spark, **options: seen.append(spark.conf.get(name)))
+    stream_catalog.replay(spark)
+    stream_catalog.replay_batches(spark)
+    assert seen == ["false", "false"] and spark.conf.get(name, None) == before
