@@ -111,6 +111,26 @@ def test_statistics_table_reads_only_the_asked_day(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan
 
 
+def test_written_statistics_are_computed_once(spark, tmp_path):
+    """Sparse days beside a heavy one: all rows arrive, and none is computed once more to be dealt out."""
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    heavy = spark.range(20_000).selectExpr("'2024-01-01 00:00:00' AS stt", "id AS ct")
+    sparse = spark.range(600).selectExpr(
+        "date_format(timestamp'2025-01-01' + make_dt_interval(cast(id AS int)), 'yyyy-MM-dd HH:mm:ss') AS stt", "id AS ct")
+    made = heavy.unionByName(sparse).mapInArrow(counted, "stt string, ct long")
+    path = str(tmp_path / "stats")
+    stats.write_table(made, path, ["stt", "ct"])
+    assert computed.value == 20_600
+    back = tables.read_stats(spark, path)
+    assert (back.count(), back.select("dt").distinct().count()) == (20_600, 601)
+
+
 def test_database_writer_takes_only_the_listed_columns(monkeypatch):
     seen = {}
 
