@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from tidemart.operators import joins, sequences
 from tidemart.plans import catalog, stream_catalog
+from tidemart.session import ADVISORY
 
 
 def plan_of(df):
@@ -69,6 +70,18 @@ def test_repair_joins_by_record_not_by_device_alone(spark, sample):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("set_to, left", [("128m", "16777216b"), ("67108864b", "16777216b"), ("8m", "8m")])
+def test_merged_shuffle_partitions_stay_small(spark, set_to, left):
+    """Hash tables of words take many times their shuffled size, so tables are asked with small partitions."""
+    before = spark.conf.get(ADVISORY)
+    try:
+        spark.conf.set(ADVISORY, set_to)
+        entry_points.queries()["keyword_score"](spark, SMALL)
+        assert spark.conf.get(ADVISORY) == left
+    finally:
+        spark.conf.set(ADVISORY, before)
+
+
 def test_large_small_side_is_not_broadcast(spark):
     facts = spark.range(100).withColumn("k", F.col("id") % 3)
     large = spark.range(1_000_000).select(F.col("id").alias("k"), F.lit("x").alias("v"))

@@ -16,7 +16,7 @@ from tidemart.operators import cdc, dashboard, joins, keywords, logs, patterns,
 from tidemart.operators.patterns import Pattern
 from tidemart.plans import warehouse
 from tidemart.schemas import CHANGE, PAGE_LOG
-from tidemart.session import shared_dir, stored
+from tidemart.session import limit_task_bytes, shared_dir, stored
 from tidemart.sinks.stats import write_table
 from tidemart.sources import tables
 from tidemart.sources.sample import Sample
@@ -318,5 +318,6 @@ TABLE_QUERIES: dict[str, Callable[[Sample], DataFrame]] = {
 def table_query(build: Callable[[Sample], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        limit_task_bytes(spark)
         return plain(build(Sample(spark, sf_dir)))
     return run
