@@ -5,6 +5,7 @@ import pytest
 from llm_rows import FEW, prose
 
 from tidemart.llm import quality_rules
+from tidemart.session import settings
 
 
 @pytest.mark.parametrize("size, listed", [(40, True), (320, True), (40, False)])
@@ -22,3 +23,24 @@ def test_scores_at_two_loads(spark, monkeypatch, size, listed):
     want = [(d, len((t or "").split()), s) for (d, t), s in zip(rows, scores, strict=True)]
     for a, b in zip(sorted(got, key=repr), sorted(want, key=repr), strict=True):
         assert a[:2] == b[:2] and (a[2] is None) == (b[2] is None) and abs((a[2] or 0) - (b[2] or 0)) < 1e-9
+
+
+def test_windows_of_equal_hashes_are_compared_as_text(spark, monkeypatch):
+    rows = [(k, " ".join([*prose(k, 60), *prose(k, 60)[: 7 * (k % 3)]])) for k in range(12)]
+    whole = quality_rules.F.xxhash64
+    monkeypatch.setattr(quality_rules.F, "xxhash64", lambda *c: whole(*c) % 40)
+    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    got = {r.doc_id: tuple(r[n] for n in names) for r in quality_rules.base_counts(
+        spark.createDataFrame(rows, FEW)).collect()}
+    assert got == {d: brute.base_counts(t) for d, t in rows}
+
+
+def test_buckets_are_counted_in_few_tasks(spark, tmp_path):
+    """What the counting tasks send follows their number times the buckets: small files do not make more tasks."""
+    docs = spark.createDataFrame([(k, " ".join(prose(k, 20))) for k in range(64)], FEW)
+    docs.repartition(64).write.parquet(f"{tmp_path}/docs")
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "512"}):
+        many = spark.read.parquet(f"{tmp_path}/docs")
+        assert many.rdd.getNumPartitions() > 32
+        few = quality_rules.in_large_tasks(many)
+        assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and few.count() == 64

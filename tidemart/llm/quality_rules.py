@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm import common
+from tidemart.operators.joins import planned_bytes
 from tidemart.session import stored
 
 SYMBOL = "[#*$%&|<>]"
@@ -29,6 +30,8 @@ PER_BUCKET = 37.5
 COUNT_ERROR = 0.02
 # Up to so many buckets the ratios are one array in the plan; beyond that they are a table to join.
 MOST_LISTED = 1 << 21
+# Planned input of one task that counts buckets.
+TASK_BYTES = 128 << 20
 PRIOR = 5.0
 THRESHOLD = -0.5
 MIN_WORDS = 50
@@ -38,8 +41,8 @@ MAX_REPEATED_PERCENT = 50
 def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed.
 
-    The repeated windows of a text are found by sorting its own windows, only where some hash repeats:
-    windows of different hashes differ, those of equal ones are compared as text.
+    The repeated windows of a text are found by sorting the hashes of its own windows, only where some hash
+    repeats. Equal hashes are compared as text, and where two windows clash, the windows are sorted as text.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(common.SPACES)) != "")
@@ -51,30 +54,42 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             lambda i: made(F.col("_w")[i], F.col("_w")[i + 1], F.col("_w")[i + 2], i)))
 
     rows = rows.withColumn("_g", windows(lambda a, b, c, i: F.xxhash64(a, b, c)))
-    ordered = F.when(F.size(F.array_distinct("_g")) < F.size("_g"), F.sort_array(windows(
-        lambda a, b, c, i: F.struct(F.concat_ws(" ", a, b, c).alias("k"), i.alias("i")))))
-    rows = rows.withColumn("_s", ordered)
-
-    def same(j: Column, other: Column) -> Column:
-        return F.col("_s")[j]["k"] == F.col("_s")[other]["k"]
-
-    twice = F.filter(
-        F.sequence(F.lit(0), F.size("_s") - 1),
-        lambda j: F.when(j > 0, same(j, j - 1)).otherwise(False)
-        | F.when(j < F.size("_s") - 1, same(j, j + 1)).otherwise(False))
-    covered = F.flatten(F.transform(twice, lambda j: F.sequence(
-        F.col("_s")[j]["i"], F.col("_s")[j]["i"] + 2)))
+    hashed = F.sort_array(F.transform("_g", lambda g, i: F.struct(g.alias("k"), i.alias("i"))))
+    rows = rows.withColumn("_s", F.when(F.size(F.array_distinct("_g")) < F.size("_g"), hashed))
+
+    def same(j: Column) -> Column:
+        return F.col("_s")[j]["k"] == F.col("_s")[j - 1]["k"]
+
+    def differ(j: Column) -> Column:
+        i, other = F.col("_s")[j]["i"], F.col("_s")[j - 1]["i"]
+        return (F.col("_w")[i] != F.col("_w")[other]) | (F.col("_w")[i + 1] != F.col("_w")[other + 1]) | (
+            F.col("_w")[i + 2] != F.col("_w")[other + 2])
+
+    clash = F.exists(F.sequence(F.lit(1), F.size("_s") - 1), lambda j: F.when(same(j), differ(j)).otherwise(False))
+    texts = F.sort_array(windows(lambda a, b, c, i: F.struct(F.concat_ws(" ", a, b, c).alias("k"), i.alias("i"))))
+    # Only equal hashes of different windows need the windows themselves.
+    rows = rows.withColumn("_x", F.when(F.col("_s").isNotNull() & clash, texts))
+
+    def covered(column: str) -> Column:
+        """Words in windows whose key in the sorted ``column`` stands beside an equal one."""
+        key = F.col(column)
+        last = F.size(column) - 1
+        twice = F.filter(column, lambda s, j: F.when(j > 0, s["k"] == key[j - 1]["k"]).otherwise(False)
+                         | F.when(j < last, s["k"] == key[j + 1]["k"]).otherwise(False))
+        return F.size(F.array_distinct(F.flatten(F.transform(
+            twice, lambda s: F.sequence(s["i"], s["i"] + 2)))))
+
     rows = common.computed(rows, {
         "n_words": F.size("_w").cast("long"),
         "word_chars": F.length(F.array_join("_w", "")).cast("long"),
         "n_symbols": F.regexp_count(whole, F.lit(SYMBOL)).cast("long"),
         "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
-        "n_repeat_words": F.when(F.col("_s").isNull(), F.lit(0)).otherwise(
-            F.size(F.array_distinct(covered))).cast("long")})
+        "n_repeat_words": F.when(F.col("_s").isNull(), F.lit(0)).when(
+            F.col("_x").isNull(), covered("_s")).otherwise(covered("_x")).cast("long")})
     return rows.withColumn(
         "base_failed", (F.col("n_words") < MIN_WORDS)
         | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    ).drop("_w", "_l", "_g", "_s")
+    ).drop("_w", "_l", "_g", "_s", "_x")
 
 
 def bucket_of(buckets: int) -> Callable[..., Column]:
@@ -108,6 +123,16 @@ def bucket_number(docs: DataFrame, text: str = "text") -> int:
     return max(1, round(count / PER_BUCKET))
 
 
+def in_large_tasks(docs: DataFrame) -> DataFrame:
+    """``docs`` in fewer partitions: as many as there are cores, or more of ``TASK_BYTES`` planned each.
+
+    A task sends on each bucket it meets once. Many small tasks all meet most buckets, whose number grows with the
+    input, so what they send would grow with its square.
+    """
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-planned_bytes(docs) // TASK_BYTES))
+    return docs.coalesce(min(tasks, (1 << 31) - 1))
+
+
 def bucket_counts(docs: DataFrame, trusted: Column, text: str, buckets: int) -> DataFrame:
     """(bucket, raw, target): counts over all documents, and over those where ``trusted`` holds."""
     flagged = docs.select(F.col(text), trusted.cast("int").alias("_t"))
@@ -136,13 +161,13 @@ def score(docs: DataFrame, ratio: Column, text: str, buckets: int) -> DataFrame:
     """
     bucket = bucket_of(buckets)
     units = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(UNIT), F.lit(0))
-    both = F.concat(
-        F.transform("_u", lambda u: bucket(u)),
-        F.transform(F.slice("_u", 2, F.size("_u")), lambda u, i: bucket(F.col("_u")[i], u)))
-    rows = common.computed(docs.withColumn("_u", units), {"_n": both}).withColumn("_r", ratio)
-    total = F.aggregate("_n", F.lit(0.0), lambda acc, n: acc + F.col("_r")[n])
     kept = [c for c in docs.columns if c != "score"]
-    return rows.select(*kept, F.when(F.size("_n") > 0, total / F.size("_n")).alias("score"))
+    rows = common.computed(docs, {"_u": units}).withColumn("_r", ratio)
+    n = F.size("_u")
+    pairs = F.arrays_zip(F.slice("_u", F.lit(1), F.greatest(n - 1, F.lit(0))).alias("a"), F.slice("_u", F.lit(2), n).alias("b"))
+    one = F.aggregate("_u", F.lit(0.0), lambda acc, u: acc + F.col("_r")[bucket(u)])
+    total = F.aggregate(pairs, one, lambda acc, p: acc + F.col("_r")[bucket(p["a"], p["b"])])
+    return rows.select(*kept, F.when(n > 0, total / (2 * n - 1)).alias("score"))
 
 
 def joined_score(docs: DataFrame, counts: DataFrame, text: str, buckets: int, prior: float = PRIOR) -> DataFrame:
@@ -167,7 +192,7 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, text: str = "text",
     buckets = buckets or bucket_number(docs, text)
     ids = common.broadcast_if_small(
         trusted.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct())
-    joined = docs.select("doc_id", text).join(ids, F.col("doc_id") == F.col("_id"), "left")
+    joined = in_large_tasks(docs.select("doc_id", text)).join(ids, F.col("doc_id") == F.col("_id"), "left")
     counts = bucket_counts(joined, F.col("_id").isNotNull(), text, buckets)
     based = base_counts(docs, text)
     rows = (score(based, weights(counts, buckets).scalar(), text, buckets) if buckets <= MOST_LISTED
