@@ -24,7 +24,9 @@ from tidemart.operators.joins import planned_bytes
 from tidemart.session import stored
 
 SYMBOL = "[#*$%&|<>]"
-UNIT = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}]+"
+# A unit is `[\p{L}\p{N}_]+` or `[^\p{L}\p{N}_\s\p{Z}]+`. Runs of ASCII that no other letter or digit follows are
+# taken first, and the negated class comes behind a look at the character: categories are slow to look up.
+UNIT = r"\w++(?![\p{L}\p{N}])|(?!\s)(?:[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}]+)"
 # Distinct n-grams that share a bucket, and their count's relative error.
 PER_BUCKET = 37.5
 COUNT_ERROR = 0.02
@@ -46,7 +48,7 @@ def base_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(common.SPACES)) != "")
-    rows = docs.withColumns({"_w": common.words(whole), "_l": lines})
+    rows = docs.withColumns({"_w": F.array_remove(F.split(whole, common.SPACE_RUN), ""), "_l": lines})
 
     def windows(made: Callable[..., Column]) -> Column:
         return F.when(F.size("_w") >= 3, F.transform(
@@ -159,7 +161,10 @@ def score(docs: DataFrame, ratio: Column, text: str, buckets: int) -> DataFrame:
     The ratios are read in one place only: the optimizer then puts them there instead of their column,
     which would otherwise be copied into every row.
     """
-    bucket = bucket_of(buckets)
+    def bucket(*units: Column) -> Column:
+        # As ``bucket_of``, but for the cast: any whole number can be an index.
+        return F.pmod(F.xxhash64(*units), F.lit(buckets))
+
     units = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(UNIT), F.lit(0))
     both = F.concat(
         F.transform("_u", lambda u: bucket(u)),
