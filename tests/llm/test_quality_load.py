@@ -1,5 +1,7 @@
 """Quality rules at several sizes: the buckets follow the n-grams, and joined ratios equal listed ones."""
 
+import math
+
 import brute
 import pytest
 from llm_rows import FEW, prose
@@ -44,3 +46,19 @@ def test_buckets_are_counted_in_few_tasks(spark, tmp_path):
         assert many.rdd.getNumPartitions() > 32
         few = quality_rules.in_large_tasks(many)
         assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and few.count() == 64
+
+
+def test_ratios_are_listed_in_pieces(spark, monkeypatch):
+    """In the order of their buckets, and also for as many buckets as 6 GB of documents ask for."""
+    assert quality_rules.MOST_LISTED >= 10_000_000
+    monkeypatch.setattr(quality_rules, "PIECE", 16)
+    counts = {b: (b % 7 + 1, b % 2) for b in range(0, 100, 3)}
+    rows = spark.createDataFrame([(b, *c) for b, c in counts.items()], "bucket int, raw long, target long")
+    raws, targets = (sum(c[k] for c in counts.values()) for k in (0, 1))
+    got = quality_rules.weights(rows, 100).first()["ratio"]
+    prior = quality_rules.PRIOR
+    for b, ratio in enumerate(got):
+        raw, target = counts.get(b, (0, 0))
+        assert abs(ratio - math.log((target + prior) / (raw / raws * targets + prior))) < 1e-12
+    assert len(got) == 100
+    assert quality_rules.weights(rows.withColumn("target", rows.target * 0), 100).first()["ratio"] is None

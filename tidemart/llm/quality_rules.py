@@ -30,10 +30,13 @@ UNIT = r"\w++(?![\p{L}\p{N}])|(?!\s)(?:[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}]+)"
 # Distinct n-grams that share a bucket, and their count's relative error.
 PER_BUCKET = 37.5
 COUNT_ERROR = 0.02
-# Up to so many buckets the ratios are one array in the plan; beyond that they are a table to join.
-MOST_LISTED = 1 << 21
+# Up to so many buckets (128 MB) the ratios are one array in the plan. Beyond that they are a table to join, and each
+# n-gram of each text is shuffled.
+MOST_LISTED = 1 << 24
+# Buckets of which one task lists the ratios.
+PIECE = 1 << 14
 # Planned input of one task that counts buckets.
-TASK_BYTES = 128 << 20
+TASK_BYTES = 256 << 20
 PRIOR = 5.0
 THRESHOLD = -0.5
 MIN_WORDS = 50
@@ -143,16 +146,22 @@ def bucket_counts(docs: DataFrame, trusted: Column, text: str, buckets: int) ->
 
 
 def weights(counts: DataFrame, buckets: int, prior: float = PRIOR) -> DataFrame:
-    """One row with an array of ``buckets`` log ratios, null if there is no trusted text."""
+    """One row with an array of ``buckets`` log ratios, null if there is no trusted text.
+
+    The ratios are listed in pieces, so that the task that puts them together holds no more than the array.
+    """
     spark = counts.sparkSession
+    counts = stored(counts, "buckets")
+    raws, targets = counts.agg(F.sum("raw"), F.sum("target")).first()
+    if not targets:
+        return spark.range(1).select(F.lit(None).cast("array<double>").alias("ratio"))
     every = spark.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(
         counts, "bucket", "left").na.fill(0, ["raw", "target"])
-    listed = every.agg(
-        F.sum("raw").alias("raws"), F.sum("target").alias("targets"),
-        F.sort_array(F.collect_list(F.struct("bucket", "raw", "target"))).alias("b"))
-    ratio = F.transform("b", lambda b: F.log(
-        (b["target"] + prior) / (b["raw"] / F.col("raws") * F.col("targets") + prior)))
-    return listed.select(F.when(F.col("targets") > 0, ratio).alias("ratio"))
+    ratio = F.log((F.col("target") + prior) / (F.col("raw") / F.lit(raws) * F.lit(targets) + prior))
+    pieces = every.select("bucket", ratio.alias("ratio")).groupBy(F.floor(F.col("bucket") / PIECE).alias("piece")).agg(
+        F.sort_array(F.collect_list(F.struct("bucket", "ratio")))["ratio"].alias("ratios"))
+    listed = pieces.agg(F.sort_array(F.collect_list(F.struct("piece", "ratios"))).alias("p"))
+    return listed.select(F.flatten("p.ratios").alias("ratio"))
 
 
 def score(docs: DataFrame, ratio: Column, text: str, buckets: int) -> DataFrame:
