@@ -164,3 +164,21 @@ def test_routes_are_kept_in_blocks(keep):
                 want.append((at, known[max(before)][1]))
         assert got == sorted(want)
     assert max(len(json.loads(rows)) for rows, in handle.kept.values()) <= 2 * job.BLOCK
+
+
+@pytest.mark.parametrize("held", [7, 100])
+def test_changes_of_a_batch_are_held_in_files(monkeypatch, held):
+    """However many changes a key has in one batch, few are held; they come out by time, and of one time as they came."""
+    monkeypatch.setattr(RouteAsOf, "HELD_CHANGES", held)
+    monkeypatch.setattr(RouteAsOf, "READ_CHANGES", 3)
+    sizes, sorted_run = [], RouteAsOf._sorted_run
+    monkeypatch.setattr(RouteAsOf, "_sorted_run", lambda self, changes, file: (
+        sizes.append(len(changes)), sorted_run(self, changes, file))[1])
+    draw, job = random.Random(9), RouteAsOf(None)
+    job.init(Handle())
+    changes = [(draw.randrange(50), n) for n in range(1000)]
+    rows = [{"routes": None, "at": at, "value": str(n)} for at, n in changes]
+    rows.append({"routes": json.dumps([(10, 1, "a"), (30, 2, "b")])})
+    got = [(int(r.value), r.route) for r in job.handleInputRows(("t",), iter(rows), None)]
+    assert got == [(n, "a" if at < 30 else "b") for at, n in sorted(changes, key=lambda c: c[0]) if at >= 10]
+    assert sizes == [held] * (1000 // held)
